@@ -168,7 +168,7 @@ def oracle_sql() -> dict[str, str]:
         "zip_ingest": _FLIGHTS_SQL,
         "top_airports": f"WITH {_TOTALS}\n" + top.format(t="totals"),
         "popularity_rank": _RANK_SQL
-        + "SELECT rank, total, log10(rank) AS log10_rank, log10(total) AS log10_total "
+        + "SELECT rank, total, round(log10(rank), 9) AS log10_rank, round(log10(total), 9) AS log10_total "
         "FROM ranked WHERE total IS NOT NULL",
         "weekday_delay": weekdays.format(extra=""),
         "top_carriers": carriers,

@@ -32,7 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 TRIP_YEAR = 2008
 
 # Keys asked for by the lookup queries.
-LOOKUP = {"origin": "A05", "connection": "A07", "destination": "A13", "origin_date": "2008-01-10"}
+LOOKUP = {"origin": "A05", "connection": "A07", "destination": "A03", "origin_date": "2008-01-27"}
 
 
 # --- inputs -----------------------------------------------------------------
@@ -200,35 +200,29 @@ def _published(
 
 def _last_batch(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
     """The newest of the per-batch outputs."""
-    stored = spark.read.schema(schema.add("batch", "bigint")).csv(out)
+    stored = spark.read.schema(schemas.extended(schema, "batch", T.LongType())).csv(out)
     newest = stored.agg(F.max("batch").alias("batch")).first()["batch"]
     return stored.where(F.col("batch") == newest).drop("batch")
 
 
-def _columns(*named: tuple[str, str]) -> T.StructType:
-    schema = T.StructType()
-    for name, kind in named:
-        schema = schema.add(name, kind)
-    return schema
-
-
 def stream_top_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic, work = _published(spark, sf_dir)
     running.top_airports(topic, f"{work}/out", f"{work}/cp", seconds=None).awaitTermination()
-    schema = _columns(("place", "int"), ("airport", "string"), ("total", "bigint"))
+    schema = T.StructType.fromDDL("place int, airport string, total bigint")
     return _last_batch(spark, f"{work}/out", schema)
 
 
 def stream_popularity_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic, work = _published(spark, sf_dir)
     running.popularity_index(topic, f"{work}/out", f"{work}/cp", seconds=None).awaitTermination()
-    return _last_batch(spark, f"{work}/out", _columns(("index", "bigint"), ("total", "bigint")))
+    schema = T.StructType.fromDDL("index bigint, total bigint")
+    return _last_batch(spark, f"{work}/out", schema)
 
 
 def stream_weekday_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic, work = _published(spark, sf_dir)
     running.weekday_delay(topic, f"{work}/out", f"{work}/cp", seconds=None).awaitTermination()
-    schema = _columns(("day_of_week", "string"), ("day_name", "string"), ("avg_delay", "double"))
+    schema = T.StructType.fromDDL("day_of_week string, day_name string, avg_delay double")
     return _last_batch(spark, f"{work}/out", schema)
 
 
@@ -241,12 +235,11 @@ def stream_mean_arrival_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_ten_best(spark: SparkSession, sf_dir: str, name: str, prefix: str, wide: bool) -> DataFrame:
     topic, work = _published(spark, sf_dir)
-    ranked_schema = _columns(
-        ("origin", "string"), ("rank", "int"), (name, "string"), ("avg_delay", "double")
-    )
-    cells = [(f"{prefix}{i:02d}", "string") for i in range(1, punctuality.LIST_LENGTH + 1)]
+    ranked_schema = T.StructType.fromDDL(f"origin string, rank int, {name} string, avg_delay double")
+    cells = [f"{prefix}{i:02d} string" for i in range(1, punctuality.LIST_LENGTH + 1)]
+    wide_schema = T.StructType.fromDDL(", ".join(["airport string", *cells]))
     ranked = KeyedTable(f"{work}/ranked", ranked_schema, ["origin", "rank"])
-    wide_table = KeyedTable(f"{work}/wide", _columns(("airport", "string"), *cells), ["airport"])
+    wide_table = KeyedTable(f"{work}/wide", wide_schema, ["airport"])
     running.ten_best_table(
         topic, name, ranked, wide_table, prefix, f"{work}/cp", seconds=None
     ).awaitTermination()
@@ -301,14 +294,14 @@ def stream_trips_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     trip_streams.windowed_trips(
         topic, f"{work}/out", f"{work}/cp", seconds=None, session=spark
     ).awaitTermination()
-    schema = T.StructType(schemas.TRIPS.fields).add("window_start", "bigint")
+    schema = schemas.extended(schemas.TRIPS, "window_start", T.LongType())
     return spark.read.schema(schema).parquet(f"{work}/out/trips").select(*schema.fieldNames())
 
 
 def stream_record_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records counted batch by batch, added up."""
     topic, work = _published(spark, sf_dir)
-    counts = KeyedTable(f"{work}/counts", _columns(("batch", "bigint"), ("n", "bigint")), ["batch"])
+    counts = KeyedTable(f"{work}/counts", T.StructType.fromDDL("batch bigint, n bigint"), ["batch"])
 
     def store(batch_id: int, n: int) -> None:
         counts.upsert(spark.createDataFrame([(batch_id, n)], counts.schema), batch_id)

@@ -24,12 +24,16 @@ def top_airports(records: DataFrame, n: int = 10) -> DataFrame:
     return busiest(airport_totals(records), n)
 
 
+# Decimal places of the log-log columns; enough for a chart, and the same on any platform.
+LOG_PLACES = 9
+
+
 def popularity_rank(records: DataFrame) -> DataFrame:
     """Rank and total of every airport with a known total, with log-log columns."""
     numbered = number_by_total(airport_totals(records))
     return numbered.select(
         "rank",
         "total",
-        F.log10("rank").alias("log10_rank"),
-        F.log10("total").alias("log10_total"),
+        F.round(F.log10("rank"), LOG_PLACES).alias("log10_rank"),
+        F.round(F.log10("total"), LOG_PLACES).alias("log10_total"),
     )

@@ -124,3 +124,8 @@ MEAN_DELAYS = T.StructType(
 def text_schema(schema: T.StructType) -> T.StructType:
     """The same columns, all read as text (converted by a later select)."""
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+
+
+def extended(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
+    """A copy with one more column (`StructType.add` would change the original)."""
+    return T.StructType([*schema.fields, T.StructField(name, kind)])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from skyledger.functions import clock
 from skyledger.sources.records import flight_lines
@@ -33,15 +33,10 @@ def write_flights(flights: DataFrame, path: str) -> None:
 
 def write_csv(rows: DataFrame, path: str, header: bool = False) -> None:
     """Plain CSV; zone-less timestamps get the ISO form `...T07:10:00.000Z`."""
-    shown = [
-        clock.iso_datetime(F.col(name), clock.ISO_MILLIS).alias(name)
-        if kind == "timestamp_ntz"
-        else F.col(name)
-        for name, kind in rows.dtypes
-    ]
     (
-        rows.select(*shown).write.mode("overwrite").option("header", header)
-        .option("lineSep", "\n").option("escape", '"').option("emptyValue", "").csv(path)
+        rows.write.mode("overwrite").option("header", header).option("lineSep", "\n")
+        .option("escape", '"').option("emptyValue", "")
+        .option("timestampNTZFormat", clock.ISO_MILLIS).csv(path)
     )
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from skyledger.schemas import extended
+
 
 class KeyedTable:
     def __init__(self, path: str, schema: T.StructType, keys: list[str], sort_by: str | None = None):
@@ -18,7 +20,7 @@ class KeyedTable:
         self.schema = schema
         self.keys = keys
         self.sort_by = sort_by
-        self._stored = T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])
+        self._stored = extended(schema, "batch_id", T.LongType())
 
     def upsert(self, rows: DataFrame, batch_id: int) -> None:
         """Store rows (one per key) as batch `batch_id`."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from skyledger import schemas
+from skyledger.functions import clock
 from skyledger.sources import records
 
 
@@ -58,6 +59,6 @@ def read_result_csv(
         spark.read.schema(schema)
         .option("escape", '"')
         .option("header", header)
-        .option("enforceSchema", False)
+        .option("timestampNTZFormat", clock.ISO_MILLIS)
         .csv(path)
     )

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from skyledger.schemas import extended
 from skyledger.session import new_path
+from skyledger.sources.topics import TOPIC
 
 # Seconds between micro-batches.
 BATCH_SECONDS = 10
@@ -82,14 +84,13 @@ def publish_in_order(
     slices arrive later.
     """
     spark = records.sparkSession
-    schema = records.select("value", "timestamp").schema
     laid_out = new_path(spark, "slices")
     # A rebalance writes few files per slice and splits a slice that holds most rows.
     (
         records.select("value", "timestamp", slice_of.cast("int").alias("slice"))
         .hint("rebalance", "slice").write.partitionBy("slice").parquet(laid_out)
     )
-    numbered = spark.read.schema(schema.add("slice", "int")).parquet(laid_out)
+    numbered = spark.read.schema(extended(TOPIC, "slice", T.IntegerType())).parquet(laid_out)
     for number in range(slices):
         (
             numbered.where(F.col("slice") == number).select("value", "timestamp")
