@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+# Fixed value: text form of a moment in files and records.
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 
@@ -28,8 +28,15 @@ def departure_datetime(flight_date: Column, hhmm: Column) -> Column:
 
 
 def epoch_millis(moment: Column) -> Column:
-    """Milliseconds since 1970 of a zone-less moment (or date) read as UTC."""
-    return F.timestamp_diff("MILLISECOND", _epoch(), moment.cast("timestamp_ntz"))
+    """Milliseconds since 1970 of a zone-less moment (or date) read as UTC.
+
+    Put together from date and clock fields, as `timestampdiff` would pass the moment
+    through the session zone.
+    """
+    moment = moment.cast("timestamp_ntz")
+    seconds = F.hour(moment) * 3600 + F.minute(moment) * 60
+    millis = F.floor(F.extract(F.lit("SECOND"), moment) * 1000)
+    return F.unix_date(moment.cast("date")).cast("bigint") * 86_400_000 + seconds * 1000 + millis
 
 
 def from_epoch_millis(millis: Column) -> Column:
@@ -40,8 +47,18 @@ def iso_date(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM-dd")
 
 
-def iso_datetime(moment: Column, pattern: str = ISO_MICROS) -> Column:
-    return F.date_format(moment, pattern)
+def iso_datetime(moment: Column, fraction_digits: int = 6) -> Column:
+    """`2008-03-04T07:10:00.000000Z`.
+
+    Built from the plain text form: `date_format` would pass a zone-less moment
+    through the session zone and shift readings that zone skips.
+    """
+    text = moment.cast("string")
+    fraction = F.rpad(F.substring(text, 21, fraction_digits), fraction_digits, "0")
+    return F.concat(
+        F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8),
+        F.lit("."), fraction, F.lit("Z"),
+    )
 
 
 def parse_date(text: Column) -> Column:

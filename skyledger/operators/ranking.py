@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 # Rows one generated array may hold when a run of equal totals is written out.
-RUN_BLOCK = 4096
+RUN_BLOCK = 1024
 
 
 def first_per_group(rows: DataFrame, group: str, order: list, n: int) -> DataFrame:
@@ -27,7 +27,8 @@ def number_by_total(totals: DataFrame) -> DataFrame:
     No single task sees all rows: they are first reduced to one row per distinct
     total. Distinct totals of non-negative counts adding up to N number below
     2*sqrt(N), so the running sum works on a few million small rows even for 10^12
-    records. Equal rows are then written out again in blocks of bounded size.
+    records. Equal rows are then written out again in blocks of bounded size, spread
+    over tasks before they grow.
     """
     runs = (
         totals.where(F.col("total").isNotNull())
@@ -38,7 +39,7 @@ def number_by_total(totals: DataFrame) -> DataFrame:
     starts = runs.withColumn("start", F.coalesce(F.sum("run").over(before), F.lit(0)))
     blocks = starts.withColumn(
         "block", F.explode(F.expr(f"sequence(0L, (run - 1) div {RUN_BLOCK})"))
-    )
+    ).repartition("start", "block")
     offset = F.explode(
         F.expr(
             f"sequence(block * {RUN_BLOCK}, least((block + 1) * {RUN_BLOCK}, run) - 1)"

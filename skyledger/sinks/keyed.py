@@ -4,7 +4,7 @@ Each batch is an immutable folder `batch_id=N`, written whole. Writing it again
 after a failure replaces the same folder, so replays change nothing, and a batch
 costs only what it changed; no earlier file is touched. Reading takes the newest
 row per key. `compact` folds the batches so far into one base, after which readers
-skip the folded ones.
+skip the folded ones; `forget_folded` removes those.
 """
 
 from __future__ import annotations
@@ -83,20 +83,33 @@ class KeyedTable:
             rows = rows.hint("rebalance", self.sort_by).sortWithinPartitions(self.sort_by)
         rows.write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
 
+    def forget_folded(self, spark: SparkSession) -> None:
+        """Remove the change folders a finished base already holds."""
+        base_id = self._base_id(spark, None)
+        if base_id is None:
+            return
+        files, root = self._folder(spark, "changes")
+        for entry in files.listStatus(root):
+            name = entry.getPath().getName()
+            if name.startswith("batch_id=") and int(name.split("=")[1]) <= base_id:
+                files.delete(entry.getPath(), True)
+
+    def _folder(self, spark: SparkSession, part: str):
+        root = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
+        return root.getFileSystem(spark._jsc.hadoopConfiguration()), root
+
     def _read(self, spark: SparkSession, part: str) -> DataFrame:
         return spark.read.schema(self._stored).parquet(f"{self.path}/{part}")
 
     def _base_id(self, spark: SparkSession, upto: int | None) -> int | None:
         """The newest finished base not beyond `upto`; unfinished ones are ignored."""
-        hadoop = spark._jvm.org.apache.hadoop.fs
-        root = hadoop.Path(f"{self.path}/base")
-        files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        files, root = self._folder(spark, "base")
         if not files.exists(root):
             return None
         finished = [
             int(entry.getPath().getName().split("=")[1])
             for entry in files.listStatus(root)
-            if files.exists(hadoop.Path(entry.getPath(), "_SUCCESS"))
+            if files.exists(entry.getPath().suffix("/_SUCCESS"))
         ]
         fitting = [b for b in finished if upto is None or b <= upto]
         return max(fitting, default=None)

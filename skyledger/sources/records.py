@@ -45,7 +45,7 @@ def flight_lines(flights: DataFrame, name: str = "value", keep: list[str] | None
     """The inverse: one tab-separated line per flight, nulls as empty fields."""
     cells = [
         F.coalesce(
-            clock.iso_datetime(F.col(c), clock.ISO_MILLIS)
+            clock.iso_datetime(F.col(c), fraction_digits=3)
             if c == "flight_datetime"
             else F.col(c).cast("string"),
             F.lit(""),

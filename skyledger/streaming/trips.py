@@ -67,13 +67,14 @@ def combine_changes(spark: SparkSession, tables: TripTables, batch_id: int) -> D
 def incremental_trips(
     topic: DataFrame, tables: TripTables, checkpoint: str,
     year: int | None = None, pm_from_hour: int = 12, seconds: int | None = BATCH_SECONDS,
-    session: SparkSession | None = None,
+    session: SparkSession | None = None, compact_every: int = 100,
 ) -> StreamingQuery:
     """Keeps the trip table current: one streaming aggregate, then joins of what changed.
 
     The best leg per half-day, route and date is the state of a streaming aggregate;
     update mode hands each batch the legs whose group received records. `session` is
-    used for the joins, where adaptive execution may choose and split them.
+    used for the joins, where adaptive execution may choose and split them. Every
+    `compact_every` batches the stored legs, which each batch reads, are folded.
     """
     joins = session or topic.sparkSession
     flights = flights_from_lines(topic)
@@ -86,6 +87,9 @@ def incremental_trips(
         touched = combine_changes(joins, tables, batch_id)
         if touched is not None:
             tables.trips.upsert(touched, batch_id)
+        if batch_id and batch_id % compact_every == 0:
+            tables.legs.compact(joins, batch_id)
+            tables.legs.forget_folded(joins)
 
     return each_batch(legs, handle, checkpoint, "update", seconds)
 

@@ -1,0 +1,36 @@
+from __future__ import annotations
+
+import zipfile
+
+from skyledger import schemas
+from skyledger.plans import cleaning
+from skyledger.sources import archives
+from test_cleaning import export_line, on_time
+
+
+def make_zip(path, members):
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for name, text in members.items():
+            archive.writestr(name, text)
+
+
+def test_every_csv_of_every_archive(spark, tmp_path):
+    header = export_line(schemas.ON_TIME_COLUMNS, **{c: c for c in schemas.ON_TIME_COLUMNS})
+    (tmp_path / "deep" / "er").mkdir(parents=True)
+    many = "\n".join([header] + [on_time(FlightNum=str(i)) for i in range(archives.LINES_PER_BATCH + 7)])
+    make_zip(tmp_path / "jan.zip", {"jan.csv": many, "readme.html": "<p>no data</p>"})
+    make_zip(
+        tmp_path / "deep" / "er" / "FEB.ZIP",
+        {"FEB.CSV": header + "\r\n" + on_time(FlightNum="a") + "\r\n", "b/mar.csv": on_time(FlightNum="b")},
+    )
+    (tmp_path / "not-an-archive.txt").write_text("x")
+
+    lines = archives.unpack_lines(archives.read_archives(spark, str(tmp_path)))
+    members = {r["member"]: r["n"] for r in lines.groupBy("member").count().withColumnRenamed("count", "n").collect()}
+    assert members == {"jan.csv": archives.LINES_PER_BATCH + 8, "FEB.CSV": 2, "b/mar.csv": 1}
+
+    out = str(tmp_path / "landed")
+    raw = archives.land_archives(spark, str(tmp_path), out, schemas.RAW_ON_TIME)
+    clean = cleaning.clean_on_time(raw)
+    assert clean.count() == archives.LINES_PER_BATCH + 9
+    assert {r["flight_num"] for r in clean.collect()} >= {"0", "a", "b", str(archives.LINES_PER_BATCH + 6)}
