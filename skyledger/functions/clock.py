@@ -35,7 +35,7 @@ def epoch_millis(moment: Column) -> Column:
     """
     moment = moment.cast("timestamp_ntz")
     seconds = F.hour(moment) * 3600 + F.minute(moment) * 60
-    millis = F.floor(F.extract(F.lit("SECOND"), moment) * 1000)
+    millis = F.floor(F.extract(F.lit("SECOND"), moment) * 1000).cast("bigint")
     return F.unix_date(moment.cast("date")).cast("bigint") * 86_400_000 + seconds * 1000 + millis
 
 
