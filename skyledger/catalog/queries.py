@@ -170,34 +170,48 @@ def best_legs_millis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streams -----------------------------------------------------------------
 
-def _published(
+def publish_records(
     spark: SparkSession, sf_dir: str, rounds: int = 4, year: int | None = None, closing: bool = False
-) -> tuple[DataFrame, str]:
-    """Publish all records in order of arrival; the topic as a stream, and a work folder.
+) -> str:
+    """Publish all records in order of arrival; returns the topic folder.
 
     `closing` adds one last record a day later, which moves the watermark past every
     window before it and stays in a window that never closes.
     """
     raw = derived.raw_flights(spark, sf_dir, with_arrival=True)
     clean = cleaning.clean_on_time(raw, year, keep=["timestamp"])
-    records = stage(flight_lines(clean, keep=["timestamp"]), "records")
     folder = new_path(spark, "topic")
     second = F.unix_seconds("timestamp") - derived.ARRIVAL_START
     runs.publish_in_order(
-        records, folder, F.floor(second * rounds / derived.ARRIVAL_SPAN), rounds
+        flight_lines(clean, keep=["timestamp"]), folder,
+        F.floor(second * rounds / derived.ARRIVAL_SPAN), rounds,
     )
     if closing:
-        last = records.agg(
-            F.min("value").alias("value"),
-            F.timestamp_add("DAY", F.lit(1), F.max("timestamp")).alias("timestamp"),
+        last = stage(
+            spark.read.schema(topics.TOPIC).parquet(folder).agg(
+                F.min("value").alias("value"),
+                F.timestamp_add("DAY", F.lit(1), F.max("timestamp")).alias("timestamp"),
+            ),
+            "closing",
         )
         last.write.mode("append").parquet(folder)
+    return folder
+
+
+def open_topic(spark: SparkSession, folder: str, rounds: int) -> tuple[DataFrame, str]:
+    """The topic as a stream of about `rounds` batches, and a new work folder."""
     count = len(spark.read.schema(topics.TOPIC).parquet(folder).inputFiles())
-    per_batch = max(1, -(-count // (rounds + closing)))
-    stream = topics.read_topic_folder(stream_session(spark), folder, per_batch)
+    stream = topics.read_topic_folder(stream_session(spark), folder, max(1, -(-count // rounds)))
     return stream, new_path(spark, "stream")
 
 
+def _published(
+    spark: SparkSession, sf_dir: str, rounds: int = 4, year: int | None = None, closing: bool = False
+) -> tuple[DataFrame, str]:
+    folder = publish_records(spark, sf_dir, rounds, year, closing)
+    return open_topic(spark, folder, rounds + closing)
+
+
 def _last_batch(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
     """The newest of the per-batch outputs."""
     stored = spark.read.schema(schemas.extended(schema, "batch", T.LongType())).csv(out)

@@ -99,6 +99,9 @@ class KeyedTable:
         return root.getFileSystem(spark._jsc.hadoopConfiguration()), root
 
     def _read(self, spark: SparkSession, part: str) -> DataFrame:
+        files, root = self._folder(spark, part)
+        if not files.exists(root):
+            return spark.createDataFrame([], self._stored)
         return spark.read.schema(self._stored).parquet(f"{self.path}/{part}")
 
     def _base_id(self, spark: SparkSession, upto: int | None) -> int | None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skyledger.operators.legs import (
@@ -19,9 +19,14 @@ SLIDE_SECONDS = 6
 
 
 class TripTables:
-    """The stored legs of both half-days and the trips they combine to."""
+    """The stored legs of both half-days and the trips they combine to.
+
+    Rows are ordered by the batch ids of one stream, so the tables belong to that
+    stream's checkpoint: a fresh checkpoint needs a fresh path.
+    """
 
     def __init__(self, path: str):
+        self.arrived = f"{path}/arrived"
         self.legs = KeyedTable(f"{path}/legs", LEGS, LEG_KEY, sort_by="date")
         self.trips = KeyedTable(f"{path}/trips", TRIPS, TRIP_KEY, sort_by="origin_date")
 
@@ -38,43 +43,60 @@ class TripTables:
         found = self.legs.lookup(spark, leg="am", destination=destination, date=date)
         return found.drop("leg")
 
-
-def combine_changes(spark: SparkSession, tables: TripTables, batch_id: int) -> DataFrame | None:
-    """Trips touched by the legs that batch `batch_id` stored.
-
-    Changed morning legs meet all afternoon legs and the other way round, so a leg
-    counts whichever half arrives first, and a leg that improved renews every trip it
-    is part of. Only stored legs within the dates of the batch are read.
-    """
-    changed = tables.legs.changes(spark, batch_id)
-    # One row whatever the batch holds.
-    span = changed.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
-    if span["first"] is None:
-        return None
-
-    def stored(leg: str, shift: int) -> DataFrame:
-        near = F.col("date").between(
-            F.date_add(F.lit(span["first"]), shift), F.date_add(F.lit(span["last"]), shift)
-        )
-        return tables.legs.latest(spark, upto=batch_id, where=(F.col("leg") == leg) & near)
-
-    onward = pair_legs(only_leg(changed, "am"), stored("pm", STAY_DAYS))
-    # Morning legs of this batch are already paired above.
-    earlier = stored("am", -STAY_DAYS).where(F.col("batch_id") < batch_id)
-    return onward.unionByName(pair_legs(earlier, only_leg(changed, "pm")))
+    def store_batch(self, spark: SparkSession, legs: DataFrame, batch_id: int) -> None:
+        """Store the legs a batch brought, and every trip they renew.
+
+        Changed morning legs meet all afternoon legs and the other way round, so a leg
+        counts whichever half arrives first, and a leg that improved renews every trip
+        it is part of. Only stored legs around the dates of the batch are read.
+        """
+        legs.write.mode("overwrite").parquet(self.arrived)
+        arrived = spark.read.schema(LEGS).parquet(self.arrived)
+        # One row whatever the batch holds.
+        span = arrived.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
+        if span["first"] is None:
+            return
+
+        def around(shift: int) -> Column:
+            first, last = F.lit(span["first"]), F.lit(span["last"])
+            return F.col("date").between(F.date_add(first, shift), F.date_add(last, shift))
+
+        def stored(leg: str, shift: int) -> DataFrame:
+            near = (F.col("leg") == leg) & around(shift)
+            return self.legs.latest(spark, upto=batch_id, where=near)
+
+        changed = arrived
+        if batch_id > 0:
+            # A group that got records but kept its best leg renews nothing.
+            known = self.legs.latest(spark, upto=batch_id - 1, where=around(0))
+            same = [arrived[c].eqNullSafe(known[c]) for c in LEGS.fieldNames()]
+            changed = arrived.join(known, same, "left_anti")
+        self.legs.upsert(changed, batch_id)
+
+        changed = self.legs.changes(spark, batch_id)
+        onward = pair_legs(only_leg(changed, "am"), stored("pm", STAY_DAYS))
+        # Morning legs of this batch are already paired above.
+        earlier = stored("am", -STAY_DAYS).where(F.col("batch_id") < batch_id)
+        renewed = onward.unionByName(pair_legs(earlier, only_leg(changed, "pm")))
+        self.trips.upsert(renewed, batch_id)
+
+    def fold_legs(self, spark: SparkSession, batch_id: int) -> None:
+        """Fold the stored legs, which every batch reads, into one base."""
+        self.legs.compact(spark, batch_id)
+        self.legs.forget_folded(spark)
 
 
 def incremental_trips(
     topic: DataFrame, tables: TripTables, checkpoint: str,
     year: int | None = None, pm_from_hour: int = 12, seconds: int | None = BATCH_SECONDS,
-    session: SparkSession | None = None, compact_every: int = 100,
+    session: SparkSession | None = None, fold_every: int = 100,
 ) -> StreamingQuery:
     """Keeps the trip table current: one streaming aggregate, then joins of what changed.
 
     The best leg per half-day, route and date is the state of a streaming aggregate;
     update mode hands each batch the legs whose group received records. `session` is
-    used for the joins, where adaptive execution may choose and split them. Every
-    `compact_every` batches the stored legs, which each batch reads, are folded.
+    used for the joins, where adaptive execution may choose and split them. Stored
+    legs are folded every `fold_every` batches.
     """
     joins = session or topic.sparkSession
     flights = flights_from_lines(topic)
@@ -82,14 +104,10 @@ def incremental_trips(
         flights = flights.where(F.col("year") == year)
     legs = best_legs(timed_legs(flights, pm_from_hour))
 
-    def handle(changed: DataFrame, batch_id: int) -> None:
-        tables.legs.upsert(changed, batch_id)
-        touched = combine_changes(joins, tables, batch_id)
-        if touched is not None:
-            tables.trips.upsert(touched, batch_id)
-        if batch_id and batch_id % compact_every == 0:
-            tables.legs.compact(joins, batch_id)
-            tables.legs.forget_folded(joins)
+    def handle(updated: DataFrame, batch_id: int) -> None:
+        tables.store_batch(joins, updated, batch_id)
+        if batch_id and batch_id % fold_every == 0:
+            tables.fold_legs(joins, batch_id)
 
     return each_batch(legs, handle, checkpoint, "update", seconds)
 

@@ -134,13 +134,13 @@ def stored_trips(spark, tables):
     return found
 
 
-@pytest.mark.parametrize("compact_every", [1, 100])
-def test_incremental_trips_equal_batch(spark, publish, tmp_path, compact_every):
+@pytest.mark.parametrize("fold_every", [1, 100])
+def test_incremental_trips_equal_batch(spark, publish, tmp_path, fold_every):
     rows = random_flights(8)
     tables = trip_streams.TripTables(str(tmp_path / "tables"))
     run(trip_streams.incremental_trips(
         publish(*thirds(rows)), tables, str(tmp_path / "cp"), year=2008, seconds=None,
-        session=spark, compact_every=compact_every,
+        session=spark, fold_every=fold_every,
     ))
     assert stored_trips(spark, tables) == brute_trips(rows)
 
@@ -172,10 +172,26 @@ def test_replayed_trip_batch_changes_nothing(spark, publish, tmp_path):
     tables = trip_streams.TripTables(str(tmp_path / "tables"))
     run(trip_streams.incremental_trips(publish(rows), tables, str(tmp_path / "cp"), seconds=None))
     before = stored_trips(spark, tables)
-    again = spark.createDataFrame(tables.legs.changes(spark, 0).collect(), schemas.LEGS)
-    tables.legs.upsert(again, 0)
-    tables.trips.upsert(trip_streams.combine_changes(spark, tables, 0), 0)
+    legs = spark.createDataFrame(tables.legs.changes(spark, 0).collect(), schemas.LEGS)
+    tables.store_batch(spark, legs, 0)
     assert stored_trips(spark, tables) == before
+    # The same legs in a later batch change nothing either, and write no trip.
+    tables.store_batch(spark, legs, 1)
+    assert tables.legs.changes(spark, 1).count() == 0
+    assert tables.trips.changes(spark, 1).count() == 0
+    tables.store_batch(spark, legs.where("false"), 2)
+    assert stored_trips(spark, tables) == before
+
+
+def test_trips_after_an_empty_start(spark, publish, tmp_path):
+    rows = golden_flights()
+    other_year = [flight("2007-01-01T08:00", origin="X", dest="Y")]
+    tables = trip_streams.TripTables(str(tmp_path / "tables"))
+    assert tables.trips.latest(spark).count() == 0
+    run(trip_streams.incremental_trips(
+        publish(other_year, rows[:6], rows[6:]), tables, str(tmp_path / "cp"), year=2008, seconds=None
+    ))
+    assert stored_trips(spark, tables) == brute_trips(rows)
 
 
 def test_windowed_trips(spark, flights, publish, tmp_path):
