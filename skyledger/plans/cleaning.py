@@ -33,7 +33,9 @@ def clean_on_time(
     return kept.select(
         year_number.alias("year"),
         clock.parse_date(F.col("FlightDate")).alias("flight_date"),
-        clock.departure_datetime(F.col("FlightDate"), F.col("CRSDepTime")).alias("flight_datetime"),
+        clock.departure_datetime(
+            clock.parse_date(F.col("FlightDate")), F.col("CRSDepTime")
+        ).alias("flight_datetime"),
         F.col("DayOfWeek").alias("day_of_week"),
         F.col("UniqueCarrier").alias("carrier"),
         F.col("FlightNum").alias("flight_num"),
