@@ -136,8 +136,12 @@ def top_destinations_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_mean_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = punctuality.mean_arrival_delay(_flights(spark, sf_dir))
-    return _loaded(spark, rows, schemas.MEAN_DELAYS)
+    """Written as CSV, then loaded into a keyed table in place of what it held."""
+    path = new_path(spark, "means")
+    files.write_csv(punctuality.mean_arrival_delay(_flights(spark, sf_dir)), path)
+    table = KeyedTable(new_path(spark, "table"), schemas.MEAN_DELAYS, ["origin", "destination"])
+    table.replace(source_files.read_result_csv(spark, path, schemas.MEAN_DELAYS))
+    return table.latest(spark).drop("batch_id")
 
 
 def stored_popularity(spark: SparkSession, sf_dir: str) -> DataFrame:

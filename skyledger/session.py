@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -25,6 +26,12 @@ def get_session(app: str = "skyledger", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_dir() -> tempfile.TemporaryDirectory:
+    """One temporary folder per process, gone when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="skyledger-", ignore_cleanup_errors=True)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by `spark.checkpoint.dir`.
 
@@ -34,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="skyledger-")
+        return _local_dir().name
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 

@@ -30,8 +30,10 @@ class KeyedTable:
         rows.write.mode("overwrite").parquet(f"{self.path}/changes/batch_id={batch_id}")
 
     def replace(self, rows: DataFrame) -> None:
-        """Drop everything and load `rows`: the table then holds one batch."""
-        rows = rows.select(*self.schema.fieldNames(), F.lit(0).cast("bigint").alias("batch_id"))
+        """Drop everything and load `rows`, which come before any later batch."""
+        files, base = self._folder(rows.sparkSession, "base")
+        files.delete(base, True)
+        rows = rows.select(*self.schema.fieldNames(), F.lit(-1).cast("bigint").alias("batch_id"))
         (
             rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
             .partitionBy("batch_id").parquet(f"{self.path}/changes")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from skyledger.functions import texts
 from skyledger.schemas import extended
 from skyledger.session import new_path
 from skyledger.sources.topics import TOPIC
@@ -41,6 +42,12 @@ def print_stream(
     return start(writer.option("truncate", False), checkpoint, seconds)
 
 
+def print_topic(topic: DataFrame, checkpoint: str, seconds: int | None = PUBLISH_SECONDS) -> StreamingQuery:
+    """Print a topic's records as quoted lines; open it from its beginning to see all."""
+    lines = topic.select(texts.quoted_line(F.col("timestamp"), F.col("value")).alias("line"))
+    return print_stream(lines, checkpoint, seconds=seconds)
+
+
 def publish_to_folder(
     lines: DataFrame, path: str, checkpoint: str, seconds: int | None = PUBLISH_SECONDS
 ) -> StreamingQuery:

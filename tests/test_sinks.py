@@ -72,8 +72,11 @@ def test_compaction(spark, table):
 def test_replace_drops_what_was_there(spark, table):
     table.upsert(rows(spark, a=1), 0)
     table.upsert(rows(spark, b=1), 1)
+    table.compact(spark, 1)
     table.replace(rows(spark, c=3))
     assert content(table.latest(spark)) == {"c": 3}
+    table.upsert(rows(spark, d=4), 0)
+    assert content(table.latest(spark)) == {"c": 3, "d": 4}
 
 
 def test_key_filter_reaches_the_scan(spark, table):

@@ -232,6 +232,9 @@ def test_console_print_and_batch_counts(spark, publish, tmp_path):
     run(printed)
     assert sum(p["numInputRows"] for p in printed.recentProgress) == 60
     assert "Console" in printed.lastProgress["sink"]["description"]
+    printed = runs.print_topic(topic, str(tmp_path / "cp3"), seconds=None)
+    run(printed)
+    assert sum(p["numInputRows"] for p in printed.recentProgress) == 60
     seen = {}
     run(runs.each_batch(topic, runs.count_batches(seen.__setitem__), str(tmp_path / "cp2"), "append", seconds=None))
     assert sum(seen.values()) == 60 and len(seen) == 3
