@@ -10,15 +10,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 
-def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        packed = io.BytesIO()
-        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr("on_time.csv", "\n".join(batch["line"]) + "\n")
-            archive.writestr("readme.txt", "not data\n")
-        yield pd.DataFrame({"path": ["rows.zip"], "content": [packed.getvalue()]})
-
-
 def pack_lines(lines: DataFrame) -> DataFrame:
     """One archive (`path`, `content`) per Arrow batch of lines."""
-    return lines.select("line").mapInPandas(_pack, "path string, content binary")
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            packed = io.BytesIO()
+            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr("on_time.csv", "\n".join(batch["line"]) + "\n")
+                archive.writestr("readme.txt", "not data\n")
+            yield pd.DataFrame({"path": ["rows.zip"], "content": [packed.getvalue()]})
+
+    return lines.select("line").mapInPandas(pack, "path string, content binary")

@@ -91,7 +91,7 @@ def _legs(pm_from_hour: int = 12, window: bool = False) -> str:
     source = (
         "(SELECT clean.*, w.s AS window_start FROM clean, "
         "(SELECT unnest([0, 6]) AS back) b, "
-        "LATERAL (SELECT 1704067200 + (arrival_s // 6) * 6 - b.back AS s) w)"
+        "LATERAL (SELECT CAST(1704067200 + (arrival_s // 6) * 6 - b.back AS BIGINT) AS s) w)"
         if window
         else "clean"
     )

@@ -18,7 +18,7 @@ from skyledger.functions import texts
 from skyledger.operators import legs as leg_ops
 from skyledger.operators.traffic import endpoint_counts
 from skyledger.plans import cleaning, itineraries, popularity, punctuality, wordcount
-from skyledger.session import new_path, stage, stream_session
+from skyledger.session import folder_size, new_path, stage, stream_session
 from skyledger.sinks import files
 from skyledger.sinks.keyed import KeyedTable
 from skyledger.sources import archives, topics
@@ -31,6 +31,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 TRIP_YEAR = 2008
 
+# Batches a replay of any number of files is spread over.
+REPLAY_ROUNDS = 8
+
 # Keys asked for by the lookup queries.
 LOOKUP = {"origin": "A05", "connection": "A07", "destination": "A03", "origin_date": "2008-01-27"}
 
@@ -204,8 +207,10 @@ def publish_records(
 
 def open_topic(spark: SparkSession, folder: str, rounds: int) -> tuple[DataFrame, str]:
     """The topic as a stream of about `rounds` batches, and a new work folder."""
-    count = len(spark.read.schema(topics.TOPIC).parquet(folder).inputFiles())
-    stream = topics.read_topic_folder(stream_session(spark), folder, max(1, -(-count // rounds)))
+    _, size = folder_size(spark, folder)
+    stream = topics.read_topic_folder(
+        stream_session(spark), folder, bytes_per_batch=str(-(-size // rounds))
+    )
     return stream, new_path(spark, "stream")
 
 
@@ -213,7 +218,7 @@ def _published(
     spark: SparkSession, sf_dir: str, rounds: int = 4, year: int | None = None, closing: bool = False
 ) -> tuple[DataFrame, str]:
     folder = publish_records(spark, sf_dir, rounds, year, closing)
-    return open_topic(spark, folder, rounds + closing)
+    return open_topic(spark, folder, rounds)
 
 
 def _last_batch(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
@@ -333,7 +338,8 @@ def replay_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned text files sent to a topic one after another, then read from its beginning."""
     source, topic = new_path(spark, "replay"), new_path(spark, "replayed")
     files.write_flights_tsv(_flights(spark, sf_dir), source)
-    sending = runs.replay_files(stream_session(spark), source)
+    count, _ = folder_size(spark, source)
+    sending = runs.replay_files(stream_session(spark), source, -(-count // REPLAY_ROUNDS))
     runs.publish_to_folder(sending, topic, new_path(spark, "cp"), seconds=None).awaitTermination()
     return flights_from_lines(spark.read.schema(topics.TOPIC).parquet(topic))
 

@@ -60,6 +60,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def folder_size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number of files below a folder and their bytes, without listing them here."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    summary = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder)
+    return summary.getFileCount(), summary.getLength()
+
+
 def stream_session(spark: SparkSession) -> SparkSession:
     """A sibling session for stateful streams; the caller's settings stay as they are.
 

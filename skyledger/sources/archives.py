@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import itertools
 import zipfile
 from collections.abc import Iterator
 
@@ -24,35 +25,28 @@ def read_archives(spark: SparkSession, path: str, pattern: str = "*.zip") -> Dat
     return files.where(name.like(pattern.lower().replace("*", "%"))).select("path", "content")
 
 
-def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    def chunk(path: str, member: str, lines: list[str]) -> pd.DataFrame:
-        return pd.DataFrame({"path": path, "member": member, "line": lines})
-
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                for member in archive.namelist():
-                    if not member.lower().endswith(".csv"):
-                        continue
-                    lines: list[str] = []
-                    with archive.open(member) as raw:
-                        for line in io.TextIOWrapper(raw, "utf-8", "replace", newline="\n"):
-                            lines.append(line.rstrip("\r\n"))
-                            if len(lines) == LINES_PER_BATCH:
-                                yield chunk(path, member, lines)
-                                lines = []
-                    if lines:
-                        yield chunk(path, member, lines)
-
-
-def unpack_lines(archives: DataFrame) -> DataFrame:
+def unpack_lines(archives: DataFrame, lines_per_batch: int = LINES_PER_BATCH) -> DataFrame:
     """The lines of every CSV member: (`path`, `member`, `line`).
 
     Decompression is the one step Spark has no operator for; it runs as Arrow
     batches, one archive at a time per task. Everything after it is column work.
     """
+
+    # Defined here so that it travels to the executors whole, without this package.
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    members = [m for m in archive.namelist() if m.lower().endswith(".csv")]
+                    for member in members:
+                        with archive.open(member) as raw:
+                            text = io.TextIOWrapper(raw, "utf-8", "replace", newline="\n")
+                            while lines := list(itertools.islice(text, lines_per_batch)):
+                                trimmed = [line.rstrip("\r\n") for line in lines]
+                                yield pd.DataFrame({"path": path, "member": member, "line": trimmed})
+
     return archives.select("path", "content").mapInPandas(
-        _unpack, "path string, member string, line string"
+        unpack, "path string, member string, line string"
     )
 
 

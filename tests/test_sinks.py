@@ -7,6 +7,7 @@ from pyspark.sql import functions as F, types as T
 
 from skyledger.plans import itineraries
 from skyledger import schemas
+from skyledger.session import folder_size
 from skyledger.sinks import files
 from skyledger.sinks.keyed import KeyedTable
 from skyledger.sources import files as sources
@@ -116,3 +117,11 @@ def test_text_with_quotes_and_commas_survives(spark, tmp_path):
     files.write_csv(frame, str(tmp_path / "c"))
     loaded = sources.read_result_csv(spark, str(tmp_path / "c"), schema)
     assert set(map(tuple, loaded.collect())) == set(map(tuple, frame.collect()))
+
+
+def test_folder_size(spark, tmp_path):
+    path = tmp_path / "f"
+    (path / "a").mkdir(parents=True)
+    (path / "a" / "x").write_text("12345")
+    (path / "y").write_text("678")
+    assert folder_size(spark, str(path)) == (2, 8)
