@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skyledger.functions import clock
-from skyledger.schemas import TRIPS
 
 # Days a traveller stays at the connection airport.
 STAY_DAYS = 2
@@ -89,6 +88,3 @@ def pair_legs(am: DataFrame, pm: DataFrame, also_on: list[str] | None = None) ->
 
 def only_leg(legs: DataFrame, leg: str) -> DataFrame:
     return legs.where(F.col("leg") == leg)
-
-
-TRIP_COLUMNS = TRIPS.fieldNames()

@@ -5,10 +5,10 @@ import glob
 
 import pytest
 from conftest import brute_trips, flight, golden_flights, random_flights
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F, types as T
 
 from skyledger import schemas
-from skyledger.operators.legs import best_legs, only_leg, pair_legs, timed_legs
 from skyledger.operators.traffic import endpoint_counts
 from skyledger.plans import punctuality
 from skyledger.session import stream_session
@@ -257,3 +257,25 @@ def test_kafka_options():
     }
     options = topics.kafka_options("h:9092", "ontime", from_beginning=True, max_per_batch=8000)
     assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "8000"
+
+
+def test_kafka_needs_its_connector(spark, tmp_path):
+    """Without the connector Spark says so; reader and writer get as far as asking for it."""
+    with pytest.raises(AnalysisException, match="kafka"):
+        topics.read_kafka(spark, "h:9092", "ontime", from_beginning=True)
+    (tmp_path / "in").mkdir()
+    lines = runs.replay_files(spark, str(tmp_path / "in"))
+    with pytest.raises(AnalysisException, match="kafka"):
+        runs.publish_to_kafka(lines, "h:9092", "ontime", str(tmp_path / "cp"), seconds=None)
+
+
+def test_one_airport_holding_a_third_of_all_records(spark, flights, publish, tmp_path):
+    rows = [
+        (*r[:6], "HUB", "HUB" if i % 6 == 0 else r[7], *r[8:]) if i % 3 == 0 else r
+        for i, r in enumerate(random_flights(14, 900))
+    ]
+    tables = trip_streams.TripTables(str(tmp_path / "tables"))
+    run(trip_streams.incremental_trips(
+        publish(*thirds(rows)), tables, str(tmp_path / "cp"), seconds=None, session=spark
+    ))
+    assert stored_trips(spark, tables) == brute_trips(rows)
