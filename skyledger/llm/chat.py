@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
+from skyledger.llm import texts
 from skyledger.llm.packing import byte_alphabet
 
 # What the reserved ids stand for, counted from the size of the vocabulary.
@@ -59,13 +60,9 @@ class Codec:
         return b"".join([self.bytes[i] for i in ids]).decode()
 
 
-_CODECS: dict[str, Codec] = {}
-
-
 def codec(path: str) -> Codec:
-    if path not in _CODECS:
-        _CODECS[path] = Codec(path)
-    return _CODECS[path]
+    """One per worker process and tokenizer file."""
+    return texts.once(("codec", path), lambda: Codec(path))
 
 
 def format_turns(turns: DataFrame, tokenizer: str) -> DataFrame:

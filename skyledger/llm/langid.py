@@ -1,13 +1,15 @@
 """Language by compression: the language whose sample text helps zstandard most.
 
 Each language has a raw-content dictionary, plain text of its training documents. A text
-is cut into pieces that are compressed once with every dictionary; the language with the
-smallest sum of sizes wins, and the margin to the next says how sure that is.
+is reduced to lower-case letters and cut into pieces that are compressed once with every
+dictionary; the language with the smallest sum of sizes wins, and the margin to the next
+says how sure that is.
 """
 
 from __future__ import annotations
 
 import dataclasses
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,10 +17,14 @@ import regex
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from skyledger.llm import texts
-
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
+NO_LETTERS = re.compile(rb"[\x00-\x60\x7b-\x7f]+")
+
+
+def letters(text: str) -> bytes:
+    """UTF-8 of a text in lower case, with a blank for each run of ASCII that is no letter."""
+    return NO_LETTERS.sub(b" ", text.lower().encode())
 
 
 @dataclasses.dataclass(frozen=True)
@@ -32,8 +38,8 @@ class Settings:
     least_bytes: int = 200
     most_bytes: int = 6_000
     dictionary_bytes: int = 96_000
-    piece_bytes: int = 2_048
-    level: int = 1
+    piece_bytes: int = 4_096
+    lead_bytes: int = 256
     narrow: float = 0.002
 
 
@@ -50,13 +56,13 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> dict[str, bytes
              .withColumn("place", F.row_number().over(order)).where(F.col("place") <= s.sample_rows))
     parts: dict[str, list[bytes]] = {}
     for r in drawn.select("lang", "text", "place").orderBy("lang", "place").collect():
-        own, text = parts.setdefault(r["lang"], []), r["text"].encode()
+        own, text = parts.setdefault(r["lang"], []), letters(r["text"])
         if text not in own and sum(map(len, own)) + len(text) <= s.dictionary_bytes:
             own.append(text)
     # languages whose documents are all short or long still count
     rest = rows.where(~F.col("lang").isin(list(parts))).where(size > 0) if parts else rows.where(size > 0)
     for r in rest.withColumn("place", F.row_number().over(order)).where("place <= 5").orderBy("lang", "place").collect():
-        parts.setdefault(r["lang"], []).append(r["text"].encode()[: s.dictionary_bytes])
+        parts.setdefault(r["lang"], []).append(letters(r["text"])[: s.dictionary_bytes])
     return {lang: b"\n".join(x) for lang, x in parts.items()}
 
 
@@ -65,15 +71,25 @@ class Judge:
 
     def __init__(self, dictionaries: dict[str, bytes], s: Settings):
         self.names, self.s = sorted(dictionaries), s
-        self.coders = [zstandard.ZstdCompressor(
-            level=s.level, write_content_size=False, dict_data=_dictionary(dictionaries[x], s)) for x in self.names]
+        # matches of three letters count: words of a language share little more
+        params = zstandard.ZstdCompressionParameters.from_level(
+            1, strategy=zstandard.STRATEGY_LAZY2, min_match=3, write_content_size=0)
+        self.coders, self.leads = [], []
+        for name in self.names:
+            raw = dictionaries[name]
+            made = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            made.precompute_compress(compression_params=params)
+            self.coders.append(zstandard.ZstdCompressor(dict_data=made, compression_params=params))
+            # a piece follows a stretch of the dictionary, which costs little and keeps even a
+            # short piece from being stored as it is
+            self.leads.append(raw[-s.lead_bytes :] + b" ")
 
     def __call__(self, text: str | None) -> tuple[str, float, bool]:
         if not self.names or text is None or not LETTER.search(text):
             return UNKNOWN, 0.0, True
-        raw, step = text.encode(), self.s.piece_bytes
+        raw, step = letters(text), self.s.piece_bytes
         pieces = [raw[i : i + step] for i in range(0, len(raw), step)]
-        sizes = [sum([len(c.compress(x)) for x in pieces]) for c in self.coders]
+        sizes = [sum([len(c.compress(lead + x)) for x in pieces]) for c, lead in zip(self.coders, self.leads)]
         best, *others = sorted(sizes)
         margin = (others[0] - best) / others[0] if others else 1.0
         score = 1.0 / sum(2.0 ** (max(best - x, -60) / 4) for x in sizes)
@@ -111,8 +127,3 @@ def keep_clear(docs: DataFrame, dictionaries: dict[str, bytes], settings: Settin
 
     return docs.mapInArrow(run, docs.schema)
 
-
-def _dictionary(raw: bytes, s: Settings) -> zstandard.ZstdCompressionDict:
-    made = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    made.precompute_compress(level=s.level)
-    return made

@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
+from skyledger.llm import texts
 from skyledger.session import stage
 
 CAPACITY = 2048
@@ -48,7 +49,7 @@ class WordEncoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.letters = {b: c for b, c in byte_alphabet().items()}
+        self.letters = byte_alphabet()
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
 
@@ -82,16 +83,6 @@ class WordEncoder:
             return b"".join([known[w] for w in split])
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
-def encoder(path: str) -> WordEncoder:
-    """One encoder per worker process and tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
-
-
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Documents as token ids with a closing id 0, cut only where longer than `capacity`.
 
@@ -102,7 +93,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
     size = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer)
+        own = texts.once(("words", tokenizer), lambda: WordEncoder(tokenizer))
         for batch in batches:
             doc, number, length, crc, ids = [], [], [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):

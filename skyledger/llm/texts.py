@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,14 @@ IS_SPACE = np.zeros(256, bool)
 IS_SPACE[SPACES] = True
 
 
+def once(key: tuple, make: Callable):
+    """An object made once per Python process and key, however often Spark loads the asking function."""
+    held = sys.__dict__.setdefault("skyledger_held", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = x.astype(np.uint64, copy=True)

@@ -21,6 +21,7 @@ IS_LETTER = np.zeros(256, bool)
 IS_LETTER[65:91] = IS_LETTER[97:123] = IS_LETTER[128:] = True
 IS_STOP = np.zeros(256, bool)
 IS_STOP[[0x0A, 0x21, 0x2E, 0x3F]] = True  # line feed ! . ?
+PREFIXES = (4, 5, 6, 7, 8, 1 << 20)  # bytes of a word that make a feature
 
 
 @dataclasses.dataclass(frozen=True)
@@ -30,10 +31,10 @@ class Settings:
 
     sample_rows: int = 20_000
     features: int = 2_000
-    least_docs: int = 5
-    steps: int = 400
+    least_docs: int = 8
+    steps: int = 1_000
     rate: float = 0.1
-    decay: float = 1e-4
+    shrink: float = 2e-4
 
 
 @dataclasses.dataclass(frozen=True)
@@ -44,7 +45,7 @@ class Model:
 
 
 def _words(column: pa.Array):
-    """Hash, row and sentence of each run of letters; sentences are numbered through the slice.
+    """Hash, row and sentence of each feature of the runs of letters; sentences are numbered through the slice.
 
     Also the first sentence of each row (n + 1 numbers) and the byte each sentence begins at.
     """
@@ -57,7 +58,10 @@ def _words(column: pa.Array):
     last = letter.copy()
     last[:-1] &= ~letter[1:] | first[1:]
     begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    hashes = texts.hash_spans(data, begin, end)
+    # a word counts whole and by its beginnings, so that endings of a stem need not be learned one by one
+    hashes = np.stack([
+        texts.hash_spans(data, begin, np.minimum(end, begin + k)) + np.uint64(k) for k in PREFIXES], axis=1).ravel()
+    begin = np.repeat(begin, len(PREFIXES))
     # a sentence begins with each row and after each stop
     starts = np.unique(np.concatenate((at[:-1], np.flatnonzero(IS_STOP[data]) + 1)))
     starts = starts[starts < max(len(data), 1)] if len(data) else np.zeros(0, np.int64)
@@ -185,10 +189,12 @@ def _solve(words: np.ndarray, rows: list, s: Settings) -> Model:
         push = scale * np.where(label == 1, (1 - whole) / whole, -1.0)
         by_bag = p * push[doc_of_bag]
         grad = np.append(np.bincount(word, by_bag[bag], minlength=n_words), by_bag.sum() + (plain * p0 * push).sum())
-        grad[:-1] -= s.decay * theta[:-1]
         mean = 0.9 * mean + 0.1 * grad
         square = 0.99 * square + 0.01 * grad**2
-        theta = theta + s.rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+        pace = s.rate / (np.sqrt(square / (1 - 0.99**step)) + 1e-6)
+        theta = theta + pace * mean / (1 - 0.9**step)
+        # pulls weights to 0 that the labels do not call for
+        theta[:-1] = np.sign(theta[:-1]) * np.maximum(np.abs(theta[:-1]) - np.minimum(pace[:-1], 100.0) * s.shrink, 0.0)
     return Model(words, theta[:-1], float(theta[-1]))
 
 
