@@ -37,7 +37,8 @@ class Settings:
     `rows` registers form a band. At the lowest linked similarity of 0.85 a pair misses
     all 26 bands of 6 with a chance of 5 in a million, at 0.9 of 3 in a thousand millions.
     `doubt` is the log-likelihood ratio from which on a candidate is ruled out without
-    looking at its sets; 18 stands for six standard deviations.
+    looking at its sets; 18 stands for six standard deviations. Large buckets are compared
+    in blocks of `tile` sets or `tile_shingles` shingles.
     """
 
     size: int = 5
@@ -46,6 +47,7 @@ class Settings:
     rows: int = 6
     doubt: float = 18.0
     tile: int = 512
+    tile_shingles: int = 250_000
 
     @property
     def registers(self) -> int:
@@ -211,14 +213,16 @@ def _estimated(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long, equal long")
 
 
-def _tile_pairs(rows: DataFrame, s: Settings) -> DataFrame:
-    """Pairs of sets in different groups, from rows (`tile`, `side`, `id`, `component`, `n_shingles`, `registers`, `band_no`).
+def _tile_links(rows: DataFrame, s: Settings) -> DataFrame:
+    """Links between groups: a spanning forest of each tile's, confirmed on full sets.
 
-    Rows come sorted by tile, which bounds what a task holds at once. A pair counts only
-    in the first band it shares.
+    rows: `tile`, `side`, `id`, `component`, `n_shingles`, `registers`, `band_no`, `text`,
+    sorted by tile, which bounds what a task holds at once. A pair counts only in the first
+    band it shares. Candidates are taken by falling likeness, and those that earlier links
+    of the tile have joined are left out, so no group yields all its pairs.
     """
 
-    def compare(ids, group, n, regs, side, band):
+    def candidates(group, n, regs, side, band):
         left, right = np.flatnonzero(side <= 1), np.flatnonzero(side >= 1)
         for i in left:
             js = right[group[right] != group[i]]
@@ -230,40 +234,68 @@ def _tile_pairs(rows: DataFrame, s: Settings) -> DataFrame:
             js = js[same.argmax(axis=1) == band]
             if not len(js):
                 continue
-            out = ruled_out(n[i], n[js], *_counts(regs[i], regs[js]), s.percent, s.doubt)
-            for j in js[~out]:
-                yield ids[i], ids[j]
+            above, below, equal = _counts(regs[i], regs[js])
+            left_over = ~ruled_out(n[i], n[js], above, below, equal, s.percent, s.doubt)
+            yield np.full(left_over.sum(), i), js[left_over], equal[left_over]
+
+    def links(ids, group, column, found):
+        if not found:
+            return
+        i, j, equal = (np.concatenate(x) for x in zip(*found))
+        used, place = np.unique(np.concatenate((i, j)), return_inverse=True)
+        hashes, at = texts.shingle_sets(column.take(pa.array(used)), s.size)
+        top: dict = {}
+
+        def find(x):
+            while (up := top.get(x, x)) != x:
+                top[x] = top.get(up, up)
+                x = up
+            return x
+
+        for k in np.argsort(-equal, kind="stable"):
+            x, y = find(group[i[k]]), find(group[j[k]])
+            if x == y:
+                continue
+            p, q = place[k], place[len(i) + k]
+            p, q = hashes[at[p] : at[p + 1]], hashes[at[q] : at[q + 1]]
+            if _linked(p, q, s.percent):
+                top[y] = x
+                yield ids[i[k]], ids[j[k]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
-            batch = table.to_batches()[0] if table.num_rows else batch
-            if not batch.num_rows:
+            if not table.num_rows:
                 continue
+            batch = table.to_batches()[0]
             tile = batch.column("tile").to_numpy(zero_copy_only=False)
             edges = np.concatenate(([0], np.flatnonzero(tile[1:] != tile[:-1]) + 1))
-            yield from tiles(batch.slice(0, int(edges[-1])), edges[:-1])
+            yield tiles(batch, edges[:-1], edges[1:])
             held = batch.slice(int(edges[-1]))
-        if held is not None and held.num_rows:
-            yield from tiles(held, np.array([0]))
-
-    def tiles(batch, begins):
-        if not batch.num_rows:
-            return
-        ids, group, n, side, band = (batch.column(x).to_numpy(zero_copy_only=False)
-                                     for x in ("id", "component", "n_shingles", "side", "band_no"))
-        regs = _matrix(batch.column("registers"), s)
-        found = []
-        for a, b in zip(begins, [*begins[1:], batch.num_rows]):
-            own = slice(a, b)
-            found += compare(ids[own], group[own], n[own], regs[own], side[own], band[a])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+        if held is not None:
+            yield tiles(held, [0], [held.num_rows])
+
+    def tiles(batch, begins, ends):
+        out = []
+        for a, b in zip(begins, ends):
+            own = batch.slice(int(a), int(b - a))
+            ids, group, n, side, band = (own.column(x).to_numpy(zero_copy_only=False)
+                                         for x in ("id", "component", "n_shingles", "side", "band_no"))
+            regs = _matrix(own.column("registers"), s)
+            out += links(ids, group, own.column("text"), list(candidates(group, n, regs, side, band[0])))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
 
     return rows.mapInArrow(run, "a long, b long")
 
 
+def _linked(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are alike enough."""
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(p) + len(q) - both)
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
     """The pairs (`a`, `b`) of document ids that are linked by their full shingle sets."""
 
@@ -273,9 +305,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
                 (x, at_x), (y, at_y) = (texts.shingle_sets(part.column(c), s.size) for c in ("text_a", "text_b"))
                 linked = np.zeros(part.num_rows, bool)
                 for i in range(part.num_rows):
-                    p, q = x[at_x[i] : at_x[i + 1]], y[at_y[i] : at_y[i + 1]]
-                    both = len(np.intersect1d(p, q, assume_unique=True))
-                    linked[i] = both > 0 and 100 * both >= s.percent * (len(p) + len(q) - both)
+                    linked[i] = _linked(x[at_x[i] : at_x[i + 1]], y[at_y[i] : at_y[i + 1]], s.percent)
                 keep = pa.array(linked)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("a").filter(keep), part.column("b").filter(keep)], ["a", "b"])
@@ -305,8 +335,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "f1", "f2")
         .agg(F.min("doc_id").alias("id"), F.first("registers").alias("registers")), "sets")
     bands = _band_rows(sets, s)
-    buckets = bands.groupBy("band").agg(F.min("id").alias("lead"), F.count("*").alias("members")).where("members > 1")
-    shared = stage(bands.join(buckets, "band").select("band", "band_no", "id", "lead", "members"), "buckets")
+    buckets = bands.groupBy("band").agg(F.min("id").alias("lead"), F.count("*").alias("members")).where("members > 1").drop("members")
+    shared = stage(bands.join(buckets, "band").select("band", "band_no", "id", "lead"), "buckets")
 
     # each set against the most alike of the sets that lead its buckets
     led = shared.where("id != lead").groupBy(F.col("id").alias("a"), F.col("lead").alias("b")).agg(F.count("*").alias("n"))
@@ -318,10 +348,10 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
     # what is left: buckets that hold several groups
     grouped = (shared.join(found, "id", "left")
-               .select("band", "band_no", "id", "members", F.coalesce("component", "id").alias("component")))
+               .select("band", "band_no", "id", F.coalesce("component", "id").alias("component")))
     mixed = grouped.groupBy("band").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p != q")
     grouped = grouped.join(mixed.select("band"), "band")
-    more = stage(confirmed(_tile_pairs(_tiled(grouped, sets, s), s), docs, s), "links")
+    more = stage(_tile_links(_tiled(grouped, sets, docs, s), s), "links")
     if more.take(1):
         found = components(links.union(more))
 
@@ -336,21 +366,24 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         F.when(lonely, F.col("doc_id")).otherwise(F.col("id")).alias("copy_of"))
 
 
-def _tiled(grouped: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """Members of each bucket dealt into blocks, and each pair of blocks as a tile of its own."""
-    blocks = F.ceil(F.col("members") / s.tile).cast("int")
-    block = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    dealt = grouped.withColumn("blocks", blocks).withColumn("block", block)
+def _tiled(grouped: DataFrame, sets: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
+    """Members of each bucket dealt into blocks, and each pair of blocks as a tile of its own.
+
+    A block has about `tile` sets, or fewer if they are large.
+    """
+    known = grouped.join(sets.select("id", "n_shingles", "registers"), "id")
+    sizes = known.groupBy("band").agg(F.greatest(
+        F.ceil(F.count("*") / s.tile), F.ceil(F.sum("n_shingles") / s.tile_shingles)).cast("int").alias("blocks"))
+    dealt = known.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     # side 1: a block against itself; 0 and 2: the lower and the higher block of a tile
     tiled = other.select(
         F.xxhash64("band", F.least("block", "other"), F.greatest("block", "other")).alias("tile"),
         F.when(F.col("block") == F.col("other"), 1).when(F.col("block") < F.col("other"), 0).otherwise(2).alias("side"),
-        "id", "component", "band_no")
-    with_sets = tiled.join(sets.select("id", "n_shingles", "registers"), "id")
-    return (with_sets.repartition("tile").sortWithinPartitions("tile")
-            .select("tile", "side", "id", "component", "n_shingles", "registers", "band_no"))
-
+        "id", "component", "n_shingles", "registers", "band_no")
+    with_text = tiled.join(docs.select(F.col("doc_id").alias("id"), "text"), "id")
+    return (with_text.repartition("tile").sortWithinPartitions("tile")
+            .select("tile", "side", "id", "component", "n_shingles", "registers", "band_no", "text"))
 
 def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of docs, all columns as they are, that `near_duplicates` keeps.
