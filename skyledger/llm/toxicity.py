@@ -88,22 +88,18 @@ def _count_words(labelled: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen, marks = [], []
-            for part in texts.slices(batch, "text"):
+            for part in texts.slices(batch, "text", 1 << 20):  # what is sorted at once
                 hashes, row, *_ = _words(part.column("text"))
                 order = np.lexsort((hashes, row))
                 hashes, row = hashes[order], row[order]
                 new = np.ones(len(row), bool)
                 new[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
-                seen.append(hashes[new])
-                marks.append(part.column("label").to_numpy(zero_copy_only=False)[row[new]])
-            if not seen:
-                continue
-            words, number = np.unique(np.concatenate(seen), return_inverse=True)
-            toxic = np.bincount(number, np.concatenate(marks), minlength=len(words)).astype(np.int64)
-            total = np.bincount(number, minlength=len(words))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words.view(np.int64)), pa.array(toxic), pa.array(total - toxic)], ["word", "toxic", "clean"])
+                words, number = np.unique(hashes[new], return_inverse=True)
+                marks = part.column("label").to_numpy(zero_copy_only=False)[row[new]]
+                toxic = np.bincount(number, marks, minlength=len(words)).astype(np.int64)
+                total = np.bincount(number, minlength=len(words))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words.view(np.int64)), pa.array(toxic), pa.array(total - toxic)], ["word", "toxic", "clean"])
 
     return (labelled.mapInArrow(run, "word long, toxic long, clean long")
             .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
