@@ -89,9 +89,9 @@ def _wide(name: str, prefix: str) -> str:
 def _legs(pm_from_hour: int = 12, window: bool = False) -> str:
     extra = "window_start, " if window else ""
     source = (
-        "(SELECT clean.*, w.s AS window_start FROM clean, "
-        "(SELECT unnest([0, 6]) AS back) b, "
-        "LATERAL (SELECT CAST(1704067200 + (arrival_s // 6) * 6 - b.back AS BIGINT) AS s) w)"
+        "(SELECT *, CAST(1704067200 + (arrival_s // 6) * 6 AS BIGINT) AS window_start FROM clean "
+        "UNION ALL "
+        "SELECT *, CAST(1704067200 + (arrival_s // 6) * 6 - 6 AS BIGINT) AS window_start FROM clean)"
         if window
         else "clean"
     )

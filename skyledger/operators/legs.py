@@ -11,8 +11,13 @@ STAY_DAYS = 2
 
 
 def timed_legs(flights: DataFrame, pm_from_hour: int = 12) -> DataFrame:
-    """Flights usable as a leg, under leg names, tagged `am` or `pm`."""
+    """Flights usable as a leg, under leg names, tagged `am` or `pm`.
+
+    A record without an arrival delay, such as a malformed line, is no leg: it could not
+    be ranked against real ones. (Cleaning turns the missing delays of exports into 0.)
+    """
     usable = flights.where(clock.outside_noon_gap(F.col("flight_datetime"), pm_from_hour))
+    usable = usable.where(F.col("arr_delay").isNotNull())
     return usable.select(
         F.col("arr_delay").alias("arrival_delay"),
         F.col("flight_datetime").alias("date_time"),

@@ -48,8 +48,9 @@ def airport_totals(records: DataFrame) -> DataFrame:
 
 
 def endpoints(records: DataFrame) -> DataFrame:
-    """Two rows per record, one for each airport it touches."""
-    return records.select(F.explode(F.array("origin", "dest")).alias("airport"))
+    """Two rows per record, one for each airport it touches; malformed lines may name none."""
+    ends = records.select(F.explode(F.array("origin", "dest")).alias("airport"))
+    return ends.where(F.col("airport").isNotNull())
 
 
 def endpoint_counts(records: DataFrame) -> DataFrame:

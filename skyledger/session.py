@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,23 +24,10 @@ def get_session(app: str = "skyledger", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-@functools.cache
-def _local_dir() -> tempfile.TemporaryDirectory:
-    """One temporary folder per process, gone when the process ends."""
-    return tempfile.TemporaryDirectory(prefix="skyledger-", ignore_cleanup_errors=True)
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by `spark.checkpoint.dir`.
-
-    Only a local-mode session may fall back to a temporary folder.
-    """
+    """The folder every executor can reach: `spark.checkpoint.dir`, else one in the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_dir().name
-    raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/staged").rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -67,20 +52,19 @@ def folder_size(spark: SparkSession, path: str) -> tuple[int, int]:
     return summary.getFileCount(), summary.getLength()
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A sibling session for stateful streams; the caller's settings stay as they are.
 
-    State partitions are fixed when a query first starts, and more of them than
-    task slots only adds commit rounds to each micro-batch. RocksDB keeps state off
-    the heap, and changelog checkpoints write only what a batch changed.
+    State partitions are fixed when a query first starts: `spark.sql.shuffle.partitions`,
+    or `state_partitions`, as small trial runs may choose few. RocksDB keeps state off the
+    heap, and changelog checkpoints write only what a batch changed.
     """
     sibling = spark.newSession()
     for key, value in spark.conf.getAll.items():
         if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
             sibling.conf.set(key, value)
-    slots = spark.sparkContext.defaultParallelism
-    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), slots)
-    sibling.conf.set("spark.sql.shuffle.partitions", str(max(1, partitions)))
+    if state_partitions:
+        sibling.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     sibling.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -16,7 +16,7 @@ from skyledger.operators.traffic import endpoint_counts
 from skyledger.plans.popularity import busiest
 from skyledger.plans.punctuality import as_wide_list, mean_arrival_delay, ten_best
 from skyledger.sinks.files import write_quoted_csv
-from skyledger.sinks.keyed import KeyedTable
+from skyledger.sinks.keyed import FOLD_EVERY, KeyedTable
 from skyledger.sources.records import flights_from_lines
 from skyledger.streaming.runs import BATCH_SECONDS, each_batch
 
@@ -68,31 +68,48 @@ def weekday_delay(
 
 
 def mean_arrival_table(
-    topic: DataFrame, table: KeyedTable, checkpoint: str, seconds: int | None = BATCH_SECONDS
+    topic: DataFrame, table: KeyedTable, checkpoint: str, seconds: int | None = BATCH_SECONDS,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """Keeps the mean arrival delay per route in a keyed table; a batch writes changed routes only."""
     means = mean_arrival_delay(flights_from_lines(topic))
-    return each_batch(means, table.upsert, checkpoint, "update", seconds)
+
+    def handle(changed: DataFrame, batch_id: int) -> None:
+        table.upsert(changed, batch_id)
+        table.fold(changed.sparkSession, batch_id, fold_every)
+
+    return each_batch(means, handle, checkpoint, "update", seconds)
+
+
+def _store_changed(table: KeyedTable, rows: DataFrame, batch_id: int, fold_every: int) -> None:
+    """Upsert the rows that differ from what earlier batches stored."""
+    spark = rows.sparkSession
+    if batch_id > 0:
+        known = table.latest(spark, upto=batch_id - 1)
+        same = [rows[c].eqNullSafe(known[c]) for c in table.schema.fieldNames()]
+        rows = rows.join(known, same, "left_anti")
+    table.upsert(rows, batch_id)
+    table.fold(spark, batch_id, fold_every)
 
 
 def ten_best_table(
     topic: DataFrame, name: str, ranked: KeyedTable, wide: KeyedTable | None, prefix: str,
-    checkpoint: str, seconds: int | None = BATCH_SECONDS,
+    checkpoint: str, seconds: int | None = BATCH_SECONDS, fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """Keeps the ten best `name`s (`carrier` or `dest`) per origin by mean departure delay.
 
     `ranked` gets one row per (origin, rank), `wide` one row per airport with ten
-    cells. The means of all names are needed to choose ten, hence complete mode; the
-    state is one row per (origin, name).
+    cells; a batch writes the rows it changes. The means of all names are needed to
+    choose ten, hence complete mode; the state is one row per (origin, name).
     """
 
     def handle(means: DataFrame, batch_id: int) -> None:
         means = means.persist()
         try:
             best = ten_best(means, name)
-            ranked.upsert(best, batch_id)
+            _store_changed(ranked, best, batch_id, fold_every)
             if wide is not None:
-                wide.upsert(as_wide_list(best, name, prefix), batch_id)
+                _store_changed(wide, as_wide_list(best, name, prefix), batch_id, fold_every)
         finally:
             means.unpersist()
 

@@ -9,7 +9,7 @@ from skyledger.operators.legs import (
     STAY_DAYS, best_legs, least_delayed, only_leg, pair_legs, timed_legs,
 )
 from skyledger.schemas import LEG_KEY, LEGS, TRIP_KEY, TRIPS
-from skyledger.sinks.keyed import KeyedTable
+from skyledger.sinks.keyed import FOLD_EVERY, KeyedTable
 from skyledger.sources.records import flights_from_lines
 from skyledger.streaming.runs import BATCH_SECONDS, WINDOWED_BATCH_SECONDS, each_batch
 
@@ -80,23 +80,23 @@ class TripTables:
         renewed = onward.unionByName(pair_legs(earlier, only_leg(changed, "pm")))
         self.trips.upsert(renewed, batch_id)
 
-    def fold_legs(self, spark: SparkSession, batch_id: int) -> None:
-        """Fold the stored legs, which every batch reads, into one base."""
-        self.legs.compact(spark, batch_id)
-        self.legs.forget_folded(spark)
+    def fold(self, spark: SparkSession, batch_id: int, every: int) -> None:
+        """Fold the stored legs, which every batch reads, and the trips."""
+        self.legs.fold(spark, batch_id, every)
+        self.trips.fold(spark, batch_id, every)
 
 
 def incremental_trips(
     topic: DataFrame, tables: TripTables, checkpoint: str,
     year: int | None = None, pm_from_hour: int = 12, seconds: int | None = BATCH_SECONDS,
-    session: SparkSession | None = None, fold_every: int = 100,
+    session: SparkSession | None = None, fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """Keeps the trip table current: one streaming aggregate, then joins of what changed.
 
     The best leg per half-day, route and date is the state of a streaming aggregate;
     update mode hands each batch the legs whose group received records. `session` is
     used for the joins, where adaptive execution may choose and split them. Stored
-    legs are folded every `fold_every` batches.
+    legs and trips are folded every `fold_every` batches.
     """
     joins = session or topic.sparkSession
     flights = flights_from_lines(topic)
@@ -106,8 +106,7 @@ def incremental_trips(
 
     def handle(updated: DataFrame, batch_id: int) -> None:
         tables.store_batch(joins, updated, batch_id)
-        if batch_id and batch_id % fold_every == 0:
-            tables.fold_legs(joins, batch_id)
+        tables.fold(joins, batch_id, fold_every)
 
     return each_batch(legs, handle, checkpoint, "update", seconds)
 
@@ -142,5 +141,8 @@ def windowed_trips(
         legs = joins.read.schema(batch.schema).parquet(stored)
         pairs = pair_legs(only_leg(legs, "am"), only_leg(legs, "pm"), also_on=["window_start"])
         pairs.write.mode("overwrite").parquet(f"{out}/trips/batch_id={batch_id}")
+        files = joins._jvm.org.apache.hadoop.fs.Path(stored)
+        # the pairs are stored; a replayed batch writes its legs again
+        files.getFileSystem(joins._jsc.hadoopConfiguration()).delete(files, True)
 
     return each_batch(closed, handle, checkpoint, "append", seconds)

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from conftest import flight
 from skyledger import schemas
 from skyledger.operators import ranking
 from skyledger.operators.traffic import airport_totals, endpoint_counts
@@ -101,3 +102,9 @@ def test_word_count_matches_brute_force(spark):
         expected.update(w for w in line.split(" ") if w)
     frame = spark.createDataFrame([(line,) for line in lines], "text string")
     assert {r["word"]: r["n"] for r in wordcount.word_count(frame).collect()} == dict(expected)
+
+
+def test_a_record_without_airports_touches_none(flights):
+    rows = [flight("2008-03-04T07:00", origin="AAA", dest="BBB"), flight("2008-03-04T07:00", origin=None, dest="BBB")]
+    counted = {r["airport"]: r["total"] for r in endpoint_counts(flights(rows)).collect()}
+    assert counted == {"AAA": 1, "BBB": 2}

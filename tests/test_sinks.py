@@ -3,7 +3,7 @@ from __future__ import annotations
 import glob
 
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from skyledger.plans import itineraries
 from skyledger import schemas
@@ -125,3 +125,34 @@ def test_folder_size(spark, tmp_path):
     (path / "a" / "x").write_text("12345")
     (path / "y").write_text("678")
     assert folder_size(spark, str(path)) == (2, 8)
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_a_fold_may_be_repeated(spark, table, adaptive):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        for batch in range(4):
+            table.upsert(rows(spark, a=batch, **{f"k{batch}": batch}), batch)
+        for _ in range(3):
+            table.fold(spark, 3, 3)
+            assert content(table.latest(spark)) == {"a": 3, "k0": 0, "k1": 1, "k2": 2, "k3": 3}
+        table.upsert(rows(spark, a=9), 4)
+        table.fold(spark, 6, 3)
+        table.fold(spark, 9, 3)
+        assert content(table.latest(spark))["a"] == 9
+        bases = {p.rsplit("=")[-1] for p in glob.glob(f"{table.path}/base/upto=*")}
+        assert bases == {"6", "9"} and not glob.glob(f"{table.path}/changes/batch_id=*")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_an_unfinished_replacement_does_not_count(spark, table):
+    table.upsert(rows(spark, a=1), 0)
+    rows(spark, b=2).withColumn("batch_id", F.lit(-1)).write.partitionBy("batch_id").parquet(
+        f"{table.path}/generation=1/changes")
+    assert content(table.latest(spark)) == {"a": 1}
+    table.replace(rows(spark, c=3))
+    assert content(table.latest(spark)) == {"c": 3}
+    table.replace(rows(spark, d=4))
+    assert content(table.latest(spark)) == {"d": 4}

@@ -7,6 +7,7 @@ from conftest import GOLDEN, brute_trips, flight, golden_flights, random_flights
 from pyspark.sql import functions as F
 
 from skyledger import schemas
+from skyledger.operators import legs
 from skyledger.plans import itineraries
 
 
@@ -95,3 +96,10 @@ def test_text_and_millis_forms(flights):
     millis = itineraries.trips_as_millis(trips).first()
     assert millis["origin_date"] == 1204588800000
     assert millis["connection_date_time"] == 1204833000000
+
+
+def test_a_leg_without_delay_never_wins(flights):
+    rows = [flight("2008-03-04T07:00", num="1", arr=-5.0), flight("2008-03-04T07:10", num="2")]
+    rows[1] = (*rows[1][:9], None)
+    kept = legs.best_legs(legs.timed_legs(flights(rows))).collect()
+    assert [(r["flight"], r["arrival_delay"]) for r in kept] == [("1", -5.0)]
