@@ -7,7 +7,8 @@ import corpus_pipeline
 
 def test_stages_filter_and_keep_columns(spark, tmp_path):
     pick = random.Random(5)
-    words = {"xx": ["tion", "ment", "oux", "ette"], "yy": ["schaft", "keit", "ung", "heit"]}
+    words = {"xx": [a + b for a in ("ti", "me", "ou", "et", "la", "vi") for b in ("on", "nt", "x", "te", "re", "que")],
+             "yy": [a + b for a in ("sch", "ke", "un", "he", "ge", "zw") for b in ("aft", "it", "g", "rn", "ich", "tz")]}
     make = lambda lang, n: " ".join("".join(pick.choices(words[lang], k=2)) for _ in range(n))
     passage = make("xx", 40)
     rows, toxic = [], set()
