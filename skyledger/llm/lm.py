@@ -1,9 +1,10 @@
 """Language-model scores from a log-frequency Bloom filter of word pairs.
 
-The filter holds each pair seen at least twice in training with its count on a logarithmic
-scale: level 1 up to its own are inserted, and a look-up probes level after level until one
-is missing. Kept pairs are discounted, and what a context word has left goes to the smoothed
-probabilities of single words, whose counts are exact.
+The filter holds each pair seen in training with its count on a logarithmic scale: level 1
+up to its own are inserted, and a look-up probes level after level until one is missing.
+Pairs are discounted, and what a context word has left goes to the smoothed probabilities of
+single words, whose counts are exact. The filter grows with the corpus; it is broadcast a
+part of bounded size at a time, and a pass over the texts probes the pairs of one part.
 
 Hashes of words stand for words: 64 bits for single words, 32 and 32 for pairs.
 """
@@ -26,14 +27,14 @@ START = texts.mix(np.array([0x57A27], np.uint64))[0]  # what stands before the f
 
 @dataclasses.dataclass(frozen=True)
 class Settings:
-    """`filter_bytes` bounds what is broadcast. While pairs of count `least` and more need
-    more, the least count doubles, for all pairs alike. `block_bytes` of text are scored
-    at a time, and counts are merged in buckets of about `bucket_bytes` of text."""
+    """`part_bytes` bounds what is broadcast at a time; pairs of a count below `least` are
+    left to the single words. `block_bytes` of text are scored at a time, and counts are
+    merged in buckets of about `bucket_bytes` of text."""
 
-    filter_bytes: int = 64 << 20
+    part_bytes: int = 64 << 20
     hashes: int = 4
     base: float = 2.0**0.5
-    least: int = 2
+    least: int = 1
     discount: float = 0.75
     chunk_bytes: int = 16 << 20
     block_bytes: int = 8 << 20
@@ -101,10 +102,19 @@ def _read(column, kind: str) -> list[np.ndarray]:
 
 
 class Filter:
-    """Segments of one bit array; a pair's bucket names its segment."""
+    """Segments of one bit array; a pair's bucket names its segment.
 
-    def __init__(self, segments: np.ndarray, hashes: int):
+    `segments` are those of buckets `first` and on, of `buckets` in all.
+    """
+
+    def __init__(self, segments: np.ndarray, hashes: int, first: int = 0, buckets: int | None = None):
         self.segments, self.hashes = segments, hashes  # buckets x bytes
+        self.first, self.buckets = first, buckets or len(segments)
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        """Whether the segments of the keys are here."""
+        bucket = pair_bucket(keys, self.buckets)
+        return (bucket >= self.first) & (bucket < self.first + len(self.segments))
 
     @staticmethod
     def places(keys: np.ndarray, levels: np.ndarray, hashes: int, bits: int) -> np.ndarray:
@@ -126,9 +136,9 @@ class Filter:
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """How many levels of each key are present, probing upwards until one is missing."""
         out = np.zeros(len(keys), np.int64)
-        n, size = self.segments.shape
+        size = self.segments.shape[1]
         flat, going, at = self.segments.reshape(-1), np.arange(len(keys)), 1
-        base = pair_bucket(keys, n) * size
+        base = (pair_bucket(keys, self.buckets) - self.first) * size
         while len(going):
             place = self.places(keys[going], np.full(len(going), at), self.hashes, size * 8)
             there = np.ones(len(going), bool)
@@ -142,25 +152,24 @@ class Filter:
 
 @dataclasses.dataclass
 class Model:
-    """`words`: a staged table of exact counts and kept pair mass by bucket; `filter`: the broadcast."""
+    """`words`: exact counts and pair mass by bucket; `pairs`: exact pair counts by bucket, of
+    which a filter segment of `segment_bytes` is made for each bucket. Both are staged tables."""
 
     words: DataFrame
-    filter: object
+    pairs: DataFrame
+    segment_bytes: int
     buckets: int
     tokens: int
     distinct: int
-    least: int
 
 
 def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
-    """Counts words and pairs of all texts (`text`; null is empty), and builds the filter.
+    """Counts words and pairs of all texts (`text`; null is empty).
 
     Counts are summed per chunk of text in tasks, then merged by bucket, so a frequent word
-    or pair is one entry per chunk. Only totals, the filter (bounded) and one number per
-    level come to the driver.
+    or pair is one entry per chunk. Only totals and one number per level come to the driver.
     """
     s = settings
-    spark = docs.sparkSession
     docs = docs.select("text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(max(8, -(-total // s.bucket_bytes)))
@@ -213,35 +222,18 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
         by_level = np.pad(by_level, (0, max(0, r["level"] + 1 - len(by_level))))
         by_level[r["level"]] = r["x"]
 
-    # keys to insert if counts start at `least`: a pair of level l has l of them
-    least, gone = s.least, 0
-    per_double = max(1, round(np.log(2) / np.log(s.base)))
-    bits = lambda gone: s.hashes / np.log(2) * sum(
-        int(x) * (at - gone) for at, x in enumerate(by_level) if at > gone)
-    while bits(gone) > s.filter_bytes * 8:
-        least, gone = least * 2, gone + per_double
-    size = int(min(s.filter_bytes // n, max(64, bits(gone) / 8 / n * 1.1)))
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b, k, c in zip(batch.column("bucket").to_pylist(), _read(batch.column("keys"), "<u8"), _read(batch.column("counts"), "<i8")):
-                keep = c >= least
-                raw = Filter.segment(k[keep], level(c[keep], least, s.base), s.hashes, size)
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([raw], pa.binary())], ["bucket", "bits"])
-
-    segments = np.zeros((n, size), np.uint8)  # filter_bytes at most
-    for r in merged.where("kind = 1").select("bucket", "keys", "counts").mapInArrow(build, "bucket int, bits binary").toLocalIterator():
-        segments[r["bucket"]] = np.frombuffer(r["bits"], np.uint8)
+    # a pair of level l is inserted l times; buckets are alike, with a tenth to spare
+    inserted = sum(int(x) * at for at, x in enumerate(by_level))
+    size = int(max(64, s.hashes / np.log(2) * inserted / 8 / n * 1.1))
 
     def mass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Discounted counts of kept pairs, as the filter will give them, by context word."""
+        """Discounted counts of pairs, as the filter will give them, by context word."""
         for batch in batches:
             for k, c in zip(_read(batch.column("keys"), "<u8"), _read(batch.column("counts"), "<i8")):
-                keep = c >= least
-                if not keep.any():
+                if not len(k):
                     continue
-                worth = typical(level(c[keep], least, s.base), least, s.base) - s.discount
-                context, number = np.unique(k[keep] >> np.uint64(32), return_inverse=True)
+                worth = typical(level(c, s.least, s.base), s.least, s.base) - s.discount
+                context, number = np.unique(k >> np.uint64(32), return_inverse=True)
                 rows = [(b, x.astype("<u8").tobytes(), y.astype("<f8").tobytes()) for b, x, y in _split(
                     bucket_of(context, n), n, context, np.bincount(number, worth))]
                 yield pa.RecordBatch.from_arrays(
@@ -249,10 +241,29 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
                      pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())],
                     ["bucket", "kind", "keys", "counts"])
 
-    kept = merged.where("kind = 1").select("keys", "counts").mapInArrow(mass, "bucket int, kind int, keys binary, counts binary")
+    pair_counts = merged.where("kind = 1").select("bucket", "keys", "counts")
+    kept = pair_counts.select("keys", "counts").mapInArrow(mass, "bucket int, kind int, keys binary, counts binary")
     words = stage(merged.where("kind = 0").select("bucket", "kind", "keys", "counts").unionByName(kept), "words")
-    return Model(words, spark.sparkContext.broadcast((segments, s.hashes)), n,
-                 int(word_totals[1] or 0), int(word_totals[0] or 0), least)
+    return Model(words, pair_counts, size, n, int(word_totals[1] or 0), int(word_totals[0] or 0))
+
+
+def filter_parts(model: Model, settings: Settings = Settings()) -> Iterator[Filter]:
+    """The filter, in parts of at most `part_bytes` (or one segment): at any size, all pairs are in."""
+    s, size = settings, model.segment_bytes
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b, k, c in zip(batch.column("bucket").to_pylist(), _read(batch.column("keys"), "<u8"), _read(batch.column("counts"), "<i8")):
+                raw = Filter.segment(k, level(c, s.least, s.base), s.hashes, size)
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([raw], pa.binary())], ["bucket", "bits"])
+
+    step = max(1, s.part_bytes // size)
+    for first in range(0, model.buckets, step):
+        segments = np.zeros((min(step, model.buckets - first), size), np.uint8)
+        own = model.pairs.where(F.col("bucket").between(first, first + len(segments) - 1))
+        for r in own.mapInArrow(build, "bucket int, bits binary").toLocalIterator():
+            segments[r["bucket"] - first] = np.frombuffer(r["bits"], np.uint8)
+        yield Filter(segments, s.hashes, first, model.buckets)
 
 
 def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:
@@ -263,13 +274,16 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
     alone, add-one smoothed, and `score` of words after words.
 
     Exact word counts are too many to send everywhere: texts are dealt into blocks, the
-    distinct words of a block ask their bucket, and the answers meet the block again.
+    distinct words of a block ask their bucket, and the answers meet the block again. With
+    more than one part of the filter, each pass adds up the tokens whose pair is in its
+    part, is written, and lets go of its broadcast; then the passes' sums are added.
     """
     s = settings
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = docs.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     blocks = int(max(8, -(-total // s.block_bytes)))
-    n, n_tokens, n_distinct, least = model.buckets, model.tokens, model.distinct, model.least
+    n, n_tokens, n_distinct = model.buckets, model.tokens, model.distinct
     dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,8 +322,7 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
             **{c: pa.array([r[i] for r in out], pa.binary()) for i, c in enumerate(("keys", "counts", "mass"))}})
 
     def judge(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        segments, hashes = model_filter.value
-        own = Filter(segments, hashes)
+        own = Filter(*part_sent.value)
         keys = np.concatenate(_read(answers.column("keys"), "<u8"))
         order = np.argsort(keys)
         known, first = np.unique(keys[order], return_index=True)
@@ -328,27 +341,49 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
                 before[at[:-1]] = np.searchsorted(known, START)
                 c_before = counts[before].astype(float)
                 c_before[at[:-1]] = docs_started  # as many texts begin as end
-                found = own.levels(pairs(own_tokens, at))
-                gain = np.where(found > 0, typical(np.maximum(found, 1), least, s.base) - s.discount, 0.0)
+                asked_pairs = pairs(own_tokens, at)
+                here = own.holds(asked_pairs)
+                found = np.zeros(len(asked_pairs), np.int64)
+                found[here] = own.levels(asked_pairs[here])
+                gain = np.where(found > 0, typical(np.maximum(found, 1), s.least, s.base) - s.discount, 0.0)
                 whole = np.maximum(c_before, 1.0)
                 kept = np.minimum(mass[before] / whole, 0.999)
                 joint = np.where(c_before > 0, np.minimum(gain / whole, kept) + (1 - kept) * single, single)
-                results.append((part.column("doc_id"), np.diff(at), texts.row_sums((c > 0).astype(np.int64), at),
-                                np.add.reduceat(np.log10(single), at[:-1]), np.add.reduceat(np.log10(joint), at[:-1])))
+                results.append((part.column("doc_id"), part.column("text_key"), np.diff(at),
+                                texts.row_sums((c > 0).astype(np.int64), at), np.add.reduceat(np.log10(single), at[:-1]),
+                                np.add.reduceat(np.where(here, np.log10(joint), 0.0), at[:-1])))
         return pa.table({
-            "doc_id": pa.chunked_array([r[0] for r in results], pa.int64()),
-            **{name: pa.array(np.concatenate([r[i] for r in results])) for i, name in
-               ((1, "n_tokens"), (2, "n_known"))},
+            **{name: pa.chunked_array([r[i] for r in results], pa.int64()) for i, name in enumerate(("doc_id", "text_key"))},
+            **{name: pa.array(np.concatenate([r[i] for r in results])) for i, name in ((2, "n_tokens"), (3, "n_known"))},
             "train_tokens": pa.array(np.full(sum(len(r[0]) for r in results), n_tokens, np.int64)),
-            "base_score": pa.array(np.concatenate([r[3] for r in results])),
-            "score": pa.array(np.concatenate([r[4] for r in results]))})
+            **{name: pa.array(np.concatenate([r[i] for r in results])) for i, name in ((4, "base_score"), (5, "score"))}})
 
-    model_filter = model.filter
     asked = dealt.mapInArrow(ask, "block int, bucket int, keys binary")
     answers = asked.groupBy("bucket").cogroup(model.words.groupBy("bucket")).applyInArrow(
         answer, "block int, keys binary, counts binary, mass binary")
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        judge, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    if model.segment_bytes * n > s.part_bytes and n > 1:
+        answers = stage(answers, "answers")  # read by every pass
+    keyed = dealt.withColumn("text_key", F.xxhash64("text", F.lit(7)))
+    schema = ("doc_id long, text_key long, n_tokens long, n_known long, train_tokens long, "
+              "base_score double, score double")
+    names = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    passes = []
+    for part in filter_parts(model, s):
+        part_sent = spark.sparkContext.broadcast((part.segments, part.hashes, part.first, part.buckets))
+        judged = keyed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(judge, schema)
+        if len(part.segments) == n:
+            return judged.select(*names)
+        passes.append(stage(judged, "scores").withColumn("pass", F.lit(len(passes))))
+        part_sent.unpersist()
+    # repeated rows give equal results: their number is that of any one pass
+    sums = passes[0]
+    for more in passes[1:]:
+        sums = sums.unionByName(more)
+    once = sums.groupBy("doc_id", "text_key").agg(
+        F.count_if(F.col("pass") == 0).cast("int").alias("copies"), F.sum("score").alias("score"),
+        *[F.min(c).alias(c) for c in names[1:5]])
+    return once.select(*names[:5], (F.col("score") / F.col("copies")).alias("score"),
+                       F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).select(*names)
 
 
 def _look(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:

@@ -154,6 +154,17 @@ def test_lm_base_is_exact_and_pairs_help(spark):
     held = [i for i in range(120) if i % 3 == 0 and "fox" in texts[i]]
     assert sum(got[i]["score"] > got[i]["base_score"] for i in held) > 0.9 * len(held)
     assert lm.score(docs.limit(0), model).count() == 0
+
+    # the filter in many bounded parts, over repeated rows too, gives what one part gives
+    twice = docs.unionByName(docs)
+    parts = lm.Settings(part_bytes=1)
+    assert len(list(lm.filter_parts(model, parts))) == model.buckets
+    many = lm.score(twice, model, parts).collect()
+    assert len(many) == 2 * len(texts)
+    for r in many:
+        assert r["score"] == pytest.approx(got[r["doc_id"]]["score"], abs=1e-6)
+        assert r["base_score"] == pytest.approx(got[r["doc_id"]]["base_score"], abs=1e-6)
+        assert (r["n_tokens"], r["n_known"]) == (got[r["doc_id"]]["n_tokens"], got[r["doc_id"]]["n_known"])
     assert lm.score(docs, lm.train(docs.limit(0))).count() == len(texts)
 
 
