@@ -9,10 +9,11 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from skyledger.catalog import oracle, queries
 
 SF_DIR = "/root/testdata/sf0.001"
 # The other streams are checked in test_streams, and all of them by check.py.
-NAMES = [n for n in entry.queries() if not n.startswith("stream_")] + [
+NAMES = [n for n in queries.queries() if not n.startswith("stream_")] + [
     "stream_trips_incremental", "stream_trips_windowed", "stream_top_carriers_wide",
 ]
 
@@ -20,7 +21,8 @@ needs_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables
 
 
 def test_every_query_has_check_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries.queries()) == set(oracle.oracle_sql())
+    assert set(oracle.oracle_sql()) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @needs_tables
