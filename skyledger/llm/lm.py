@@ -38,7 +38,7 @@ class Settings:
     discount: float = 0.75
     chunk_bytes: int = 16 << 20
     block_bytes: int = 8 << 20
-    bucket_bytes: int = 16 << 20
+    bucket_bytes: int = 8 << 20
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
