@@ -1,4 +1,4 @@
-"""Zip archives made of table rows, so that unpacking them has whole tables to work on."""
+"""Zip archives made of table rows, so that reading and unpacking them has whole tables to work on."""
 
 from __future__ import annotations
 
@@ -7,18 +7,32 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow.fs
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, functions as F
 
 
-def pack_lines(lines: DataFrame) -> DataFrame:
-    """One archive (`path`, `content`) per Arrow batch of lines."""
+def write_archives(lines: DataFrame, folder: str) -> int:
+    """Writes `line` of all rows as zip archives below `folder`, one per Arrow batch; returns how many.
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    Tasks write their own archives, named by partition and batch, so a repeated task
+    replaces its own.
+    """
+    spark = lines.sparkSession
+    uri = spark._jvm.org.apache.hadoop.fs.Path(folder).toUri()
+    root = folder if uri.getScheme() not in (None, "file") else uri.getPath()
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        files, path = pyarrow.fs.FileSystem.from_uri(root)
+        files.create_dir(path, recursive=True)
+        for number, batch in enumerate(batches):
             packed = io.BytesIO()
             with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
                 archive.writestr("on_time.csv", "\n".join(batch["line"]) + "\n")
                 archive.writestr("readme.txt", "not data\n")
-            yield pd.DataFrame({"path": ["rows.zip"], "content": [packed.getvalue()]})
+            name = f"rows-{TaskContext.get().partitionId()}-{number}.zip"
+            with files.open_output_stream(f"{path}/{name}") as out:
+                out.write(packed.getvalue())
+            yield pd.DataFrame({"name": [name]})
 
-    return lines.select("line").mapInPandas(pack, "path string, content binary")
+    return lines.select("line").mapInPandas(write, "name string").agg(F.count("name")).first()[0]

@@ -6,7 +6,7 @@ flight. Spark and the check SQL use the same expressions; see FIXTURES.md.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _DATE = (
     "date_add(make_date(CAST(2007 + l_linenumber % 2 AS INT), 1, 1), CAST(l_partkey % 40 AS INT))"
@@ -51,3 +51,14 @@ def raw_flights(spark: SparkSession, sf_dir: str, with_arrival: bool = False) ->
     if with_arrival:
         columns.append(_ARRIVAL)
     return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).selectExpr(*columns)
+
+
+def with_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records with some years spoilt (1980, null) and some readings impossible (1965), by arrival second."""
+    raw = raw_flights(spark, sf_dir, with_arrival=True)
+    second = F.unix_seconds("timestamp") - ARRIVAL_START
+    return (
+        raw.withColumn("Year", F.when(second == 7, 1980).when(second != 11, F.col("Year")))
+        .withColumn("CRSDepTime", F.when(second == 13, "1965").otherwise(F.col("CRSDepTime")))
+        .drop("timestamp")
+    )

@@ -35,6 +35,23 @@ _CLEAN = _RAW + """, clean AS (
   FROM raw WHERE year > 1980 AND CAST(crs_dep_time AS INT) < 2400
 )"""
 
+# The same with spoilt years and readings.
+_BAD = _RAW + """, bad AS (
+  SELECT * REPLACE (
+    CASE WHEN arrival_s = 7 THEN 1980 WHEN arrival_s <> 11 THEN year END AS year,
+    CASE WHEN arrival_s = 13 THEN '1965' ELSE crs_dep_time END AS crs_dep_time)
+  FROM raw
+), clean AS (
+  SELECT year, flight_date,
+    CASE WHEN crs_dep_time <> '1965'
+         THEN try_strptime(CAST(flight_date AS VARCHAR) || ' ' || crs_dep_time, '%Y-%m-%d %H%M') END AS flight_datetime,
+    CAST(extract(isodow FROM flight_date) AS VARCHAR) AS day_of_week,
+    carrier, flight_num, origin, dest,
+    CAST(coalesce(dep_delay, 0) AS DOUBLE) AS dep_delay,
+    CAST(coalesce(arr_delay, 0) AS DOUBLE) AS arr_delay
+  FROM bad WHERE year > 1980 AND CAST(crs_dep_time AS INT) < 2400
+)"""
+
 _FLIGHT_COLUMNS = (
     "year, flight_date, flight_datetime, day_of_week, carrier, flight_num, "
     "origin, dest, dep_delay, arr_delay"
@@ -154,6 +171,12 @@ def oracle_sql() -> dict[str, str]:
         "WHEN '6' THEN 'Saturday' WHEN '7' THEN 'Sunday' END AS day_name, "
     )
     top = "SELECT CAST(row_number() OVER (ORDER BY total DESC NULLS LAST, airport) AS INT) AS place, airport, total FROM {t} ORDER BY place LIMIT 10"
+    words = """SELECT word, count(*) AS n
+FROM (SELECT unnest(regexp_split_to_array(text, '[ \\t\\n\\r\\f]+')) AS word FROM documents)
+WHERE word <> '' GROUP BY word"""
+    legs_at = f"""WITH {_legs()}
+SELECT {_STORED_LEG} FROM legs WHERE leg = 'am' AND destination = '{LOOKUP["connection"]}'
+  AND date = DATE '{LOOKUP["origin_date"]}'"""
     touched_clean = _CLEAN + _TOUCHED.format(source="clean")
     touched_coupons = _COUPONS + _TOUCHED.format(source="coupons")
     return {
@@ -166,6 +189,10 @@ def oracle_sql() -> dict[str, str]:
         "tsv_clean_origin_destination": _COUPONS_SQL,
         "flights_by_year": _FLIGHTS_YEAR_SQL,
         "zip_ingest": _FLIGHTS_SQL,
+        "clean_bad_rows": f"WITH {_BAD}\nSELECT {_FLIGHT_COLUMNS} FROM clean",
+        "valid_clock_only": f"WITH {_BAD}\nSELECT {_FLIGHT_COLUMNS} FROM clean WHERE flight_datetime IS NOT NULL",
+        "word_count_files": words,
+        "legs_at_millis": legs_at,
         "top_airports": f"WITH {_TOTALS}\n" + top.format(t="totals"),
         "popularity_rank": _RANK_SQL
         + "SELECT rank, total, round(log10(rank), 9) AS log10_rank, round(log10(total), 9) AS log10_total "
@@ -203,10 +230,9 @@ SELECT * FROM trips WHERE origin = '{LOOKUP["origin"]}' AND connection = '{LOOKU
         "stored_trips": _TRIPS_SQL,
         "quoted_totals": f"""WITH {touched_coupons}
 SELECT '"' || airport || '","' || CAST(total AS VARCHAR) || '"' AS line FROM touched""",
-        "word_count": """SELECT word, count(*) AS n
-FROM (SELECT unnest(regexp_split_to_array(text, '[ \\t\\n\\r\\f]+')) AS word FROM documents)
-WHERE word <> '' GROUP BY word""",
+        "word_count": words,
         "stream_top_airports": f"WITH {touched_clean}\n" + top.format(t="touched"),
+        "stream_top_airports_timed": f"WITH {touched_clean}\n" + top.format(t="touched"),
         "stream_popularity_index": f"""WITH {touched_clean}
 SELECT row_number() OVER (ORDER BY total DESC, airport) - 1 AS index, total FROM touched""",
         "stream_weekday_delay": weekdays.format(extra=day_name),
@@ -218,9 +244,7 @@ SELECT row_number() OVER (ORDER BY total DESC, airport) - 1 AS index, total FROM
         "stream_trips_incremental": _TRIPS_SQL,
         "stream_trip_origins": f"WITH {_legs()}\nSELECT {_STORED_LEG} FROM legs WHERE leg = 'am'",
         "stream_trip_destinations": f"WITH {_legs()}\nSELECT {_STORED_LEG} FROM legs WHERE leg = 'pm'",
-        "stream_legs_at": f"""WITH {_legs()}
-SELECT {_STORED_LEG} FROM legs WHERE leg = 'am' AND destination = '{LOOKUP["connection"]}'
-  AND date = DATE '{LOOKUP["origin_date"]}'""",
+        "stream_legs_at": legs_at,
         "stream_trips_windowed": f"WITH {_trips(window=True)}\nSELECT * FROM trips",
         "stream_record_count": f"WITH {_CLEAN}\nSELECT count(*) AS n FROM clean",
         "replay_files": _FLIGHTS_SQL,

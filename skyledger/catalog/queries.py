@@ -36,6 +36,7 @@ REPLAY_ROUNDS = 8
 
 # Keys asked for by the lookup queries.
 LOOKUP = {"origin": "A05", "connection": "A07", "destination": "A03", "origin_date": "2008-01-27"}
+LOOKUP_MILLIS = 1_201_392_000_000  # that date
 
 
 # --- inputs -----------------------------------------------------------------
@@ -105,11 +106,24 @@ def flights_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zip_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     export = _raw_export(spark, sf_dir, schemas.RAW_ON_TIME)
     lines = export.select(F.to_csv(F.struct(*export.columns), {"quoteAll": "true"}).alias("line"))
-    unpacked = archives.unpack_lines(made_archives.pack_lines(lines))
-    raw = archives.parse_csv_lines(unpacked, schemas.RAW_ON_TIME)
+    folder = new_path(spark, "archives")
+    made_archives.write_archives(lines, folder)
+    raw = archives.land_archives(spark, folder, new_path(spark, "landed"), schemas.RAW_ON_TIME)
     return cleaning.clean_on_time(raw)
 
 
+def clean_bad_rows(spark: SparkSession, sf_dir: str, valid_clock_only: bool = False) -> DataFrame:
+    """The cleaning of records among which are years up to 1980, null years and readings of 1965."""
+    return cleaning.clean_on_time(derived.with_bad_rows(spark, sf_dir), valid_clock_only=valid_clock_only)
+
+
+def word_count_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of text files; a line break inside a document only makes one more line."""
+    path = new_path(spark, "texts")
+    derived.table(spark, sf_dir, "documents").select("text").where("text IS NOT NULL").write.text(path)
+    return wordcount.word_count(source_files.read_text(spark, path))
+
+
 # --- stored results ----------------------------------------------------------
 
 def _loaded(spark: SparkSession, rows: DataFrame, schema: T.StructType, single: bool = False) -> DataFrame:
@@ -241,6 +255,18 @@ def stream_top_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _last_batch(spark, f"{work}/out", schema)
 
 
+def stream_top_airports_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on a timed trigger, stopped once all that was published is worked off."""
+    topic, work = _published(spark, sf_dir)
+    query = running.top_airports(topic, f"{work}/out", f"{work}/cp", seconds=1)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    schema = T.StructType.fromDDL("place int, airport string, total bigint")
+    return _last_batch(spark, f"{work}/out", schema)
+
+
 def stream_popularity_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic, work = _published(spark, sf_dir)
     running.popularity_index(topic, f"{work}/out", f"{work}/cp", seconds=None).awaitTermination()
@@ -318,11 +344,21 @@ def stream_legs_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.legs_at(spark, LOOKUP["connection"], date)
 
 
+def legs_at_millis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored morning legs into an airport on a date given in epoch milliseconds."""
+    tables = trip_streams.TripTables(new_path(spark, "tables"))
+    legs = leg_ops.best_legs(leg_ops.timed_legs(_flights(spark, sf_dir, TRIP_YEAR)))
+    tables.legs.upsert(legs, 0)
+    return tables.legs_at_millis(spark, LOOKUP["connection"], LOOKUP_MILLIS)
+
+
 def stream_trips_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic, work = _published(spark, sf_dir, rounds=6, year=TRIP_YEAR, closing=True)
-    trip_streams.windowed_trips(
-        topic, f"{work}/out", f"{work}/cp", seconds=None, session=spark
-    ).awaitTermination()
+    query = trip_streams.windowed_trips(
+        topic, f"{work}/out", f"{work}/cp", seconds=None, session=spark)
+    query.awaitTermination()
+    if late := runs.dropped_rows(query):
+        raise RuntimeError(f"{late} records came behind the watermark")
     schema = schemas.extended(schemas.TRIPS, "window_start", T.LongType())
     return spark.read.schema(schema).parquet(f"{work}/out/trips").select(*schema.fieldNames())
 
@@ -361,6 +397,10 @@ def queries() -> dict[str, Query]:
         "tsv_clean_origin_destination": tsv_clean_origin_destination,
         "flights_by_year": flights_by_year,
         "zip_ingest": zip_ingest,
+        "clean_bad_rows": clean_bad_rows,
+        "valid_clock_only": lambda s, d: clean_bad_rows(s, d, valid_clock_only=True),
+        "word_count_files": word_count_files,
+        "legs_at_millis": legs_at_millis,
         "top_airports": lambda s, d: popularity.top_airports(_coupons(s, d)),
         "popularity_rank": lambda s, d: popularity.popularity_rank(_coupons(s, d)),
         "weekday_delay": lambda s, d: punctuality.weekday_delay(_flights(s, d)),
@@ -381,6 +421,7 @@ def queries() -> dict[str, Query]:
         "quoted_totals": quoted_totals,
         "word_count": lambda s, d: wordcount.word_count(derived.table(s, d, "documents")),
         "stream_top_airports": stream_top_airports,
+        "stream_top_airports_timed": stream_top_airports_timed,
         "stream_popularity_index": stream_popularity_index,
         "stream_weekday_delay": stream_weekday_delay,
         "stream_mean_arrival_delay": stream_mean_arrival_delay,

@@ -34,6 +34,13 @@ def each_batch(
     return start(stream.writeStream.outputMode(mode).foreachBatch(handler), checkpoint, seconds)
 
 
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that a stream's recent batches dropped as behind the watermark."""
+    return sum(
+        state.numRowsDroppedByWatermark for batch in query.recentProgress for state in batch.stateOperators
+    )
+
+
 def print_stream(
     stream: DataFrame, checkpoint: str, mode: str = "append", rows: int = 10, seconds: int | None = BATCH_SECONDS
 ) -> StreamingQuery:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from skyledger.functions import clock
 from skyledger.operators.legs import (
     STAY_DAYS, best_legs, least_delayed, only_leg, pair_legs, timed_legs,
 )
@@ -43,6 +44,10 @@ class TripTables:
         found = self.legs.lookup(spark, leg="am", destination=destination, date=date)
         return found.drop("leg")
 
+    def legs_at_millis(self, spark: SparkSession, destination: str, millis: int) -> DataFrame:
+        """The same for a date given as epoch milliseconds."""
+        return self.legs_at(spark, destination, clock.from_epoch_millis(F.lit(millis)).cast("date"))
+
     def store_batch(self, spark: SparkSession, legs: DataFrame, batch_id: int) -> None:
         """Store the legs a batch brought, and every trip they renew.
 
@@ -115,15 +120,19 @@ def windowed_trips(
     topic: DataFrame, out: str, checkpoint: str,
     year: int | None = None, pm_from_hour: int = 12,
     seconds: int | None = WINDOWED_BATCH_SECONDS, session: SparkSession | None = None,
+    late_seconds: int = WINDOW_SECONDS,
 ) -> StreamingQuery:
     """Trips whose two legs arrive within one sliding window, written once per closed window.
 
+    A record that arrives more than `late_seconds` behind the newest before its batch is
+    dropped, so they must cover what batches mix up (`runs.dropped_rows` tells).
+
     Append mode releases all legs of a window in the batch that closes it, so the
     pairing is a plain join inside that batch: the stream is read once, and no join
     state is kept next to the aggregate's.
     """
     joins = session or topic.sparkSession
-    arrived = topic.withWatermark("timestamp", f"{WINDOW_SECONDS} seconds")
+    arrived = topic.withWatermark("timestamp", f"{late_seconds} seconds")
     flights = flights_from_lines(arrived, keep=["timestamp"])
     if year is not None:
         flights = flights.where(F.col("year") == year)
