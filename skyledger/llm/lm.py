@@ -36,7 +36,7 @@ class Settings:
     base: float = 2.0**0.5
     least: int = 1
     discount: float = 0.75
-    chunk_bytes: int = 16 << 20
+    chunk_bytes: int = 8 << 20
     block_bytes: int = 8 << 20
     bucket_bytes: int = 8 << 20
 
@@ -182,20 +182,19 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
                 held.append((own, pairs(own, at)))
                 size += part.column("text").nbytes
                 if size >= s.chunk_bytes:
-                    yield counted(held)
+                    yield from counted(held)
                     held, size = [], 0
         if held:
-            yield counted(held)
+            yield from counted(held)
 
     def counted(held):
-        out = []
         for kind, bucket in ((0, lambda k: bucket_of(k >> np.uint64(32), n)), (1, lambda k: pair_bucket(k, n))):
             keys, counts = np.unique(np.concatenate([h[kind] for h in held]), return_counts=True)
-            out += [(kind, b, k.tobytes(), c.tobytes())
-                    for b, k, c in _split(bucket(keys), n, keys, counts.astype("<u4"))]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))],
-            ["kind", "bucket", "keys", "counts"])
+            out = [(kind, b, k.tobytes(), c.tobytes())
+                   for b, k, c in _split(bucket(keys), n, keys, counts.astype("<u4"))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))],
+                ["kind", "bucket", "keys", "counts"])
 
     def merge(group: pa.Table) -> pa.Table:
         kind, bucket = group.column("kind")[0].as_py(), group.column("bucket")[0].as_py()
