@@ -66,6 +66,11 @@ def bucket_of(half: np.ndarray, n: int) -> np.ndarray:
     return (texts.mix(half) % np.uint64(n)).astype(np.int64)
 
 
+def block_words(parts: list[np.ndarray]) -> np.ndarray:
+    """Distinct words of a block of texts in order, and what stands before the first."""
+    return np.unique(np.concatenate([*parts, np.array([START], np.uint64)]))
+
+
 def pair_bucket(keys: np.ndarray, n: int) -> np.ndarray:
     return ((texts.mix(keys ^ np.uint64(0xB10C)) >> np.uint64(20)) % np.uint64(n)).astype(np.int64)
 
@@ -273,7 +278,8 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
     alone, add-one smoothed, and `score` of words after words.
 
     Exact word counts are too many to send everywhere: texts are dealt into blocks, the
-    distinct words of a block ask their bucket, and the answers meet the block again. With
+    distinct words of a block ask their bucket, and the answers, in the order of the words
+    and without them, meet the block again. With
     more than one part of the filter, each pass adds up the tokens whose pair is in its
     part, is written, and lets go of its broadcast; then the passes' sums are added.
     """
@@ -297,7 +303,7 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
                     if len(held[int(b)]) >= 64:
                         held[int(b)] = [np.unique(np.concatenate(held[int(b)]))]
         for b, parts in held.items():
-            keys = np.unique(np.concatenate([*parts, np.array([START], np.uint64)]))
+            keys = block_words(parts)
             out = [(bucket, k.tobytes()) for bucket, k in _split(bucket_of(keys >> np.uint64(32), n), n, keys)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b] * len(out), pa.int32()), pa.array([r[0] for r in out], pa.int32()),
@@ -314,43 +320,45 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
         context, mass = _merge([none, *(k for k, _ in after)], [np.zeros(0), *(c for _, c in after)])
         out = []
         for k in _read(asked.column("keys"), "<u8") if asked.num_rows else []:
-            out.append((k.tobytes(), _look(known, times, k).astype("<i8").tobytes(),
+            out.append((_look(known, times, k).astype("<i8").tobytes(),
                         _look(context, mass, k >> np.uint64(32)).astype("<f4").tobytes()))
         return pa.table({
-            "block": asked.column("block").cast(pa.int32()) if asked.num_rows else pa.array([], pa.int32()),
-            **{c: pa.array([r[i] for r in out], pa.binary()) for i, c in enumerate(("keys", "counts", "mass"))}})
+            **{c: asked.column(c).cast(pa.int32()) if asked.num_rows else pa.array([], pa.int32())
+               for c in ("block", "bucket")},
+            **{c: pa.array([r[i] for r in out], pa.binary()) for i, c in enumerate(("counts", "mass"))}})
 
     def judge(rows: pa.Table, answers: pa.Table) -> pa.Table:
         own = Filter(*part_sent.value)
-        keys = np.concatenate(_read(answers.column("keys"), "<u8"))
-        order = np.argsort(keys)
-        known, first = np.unique(keys[order], return_index=True)
-        counts = np.concatenate(_read(answers.column("counts"), "<i8"))[order][first]
-        mass = np.concatenate(_read(answers.column("mass"), "<f4"))[order][first].astype(float)
+        held = [(part.column("doc_id"), part.column("text_key"), *tokens(part.column("text")))
+                for chunk in rows.to_batches() for part in texts.slices(chunk, "text")]
+        known = block_words([h[2] for h in held])
+        counts, mass = np.zeros(len(known), np.int64), np.zeros(len(known))
+        told = dict(zip(answers.column("bucket").to_pylist(),
+                        zip(_read(answers.column("counts"), "<i8"), _read(answers.column("mass"), "<f4"))))
+        for b, places in _split(bucket_of(known >> np.uint64(32), n), n, np.arange(len(known))):
+            counts[places], mass[places] = told[b]
         docs_started = _look(known, counts, np.array([END], np.uint64))[0]
         results = []
-        for chunk in rows.to_batches():
-            for part in texts.slices(chunk, "text"):
-                own_tokens, at = tokens(part.column("text"))
-                number = np.searchsorted(known, own_tokens)
-                c = counts[number]
-                single = (c + 1.0) / (n_tokens + 1.0 * (n_distinct + 1))
-                before = np.empty_like(number)
-                before[1:] = number[:-1]
-                before[at[:-1]] = np.searchsorted(known, START)
-                c_before = counts[before].astype(float)
-                c_before[at[:-1]] = docs_started  # as many texts begin as end
-                asked_pairs = pairs(own_tokens, at)
-                here = own.holds(asked_pairs)
-                found = np.zeros(len(asked_pairs), np.int64)
-                found[here] = own.levels(asked_pairs[here])
-                gain = np.where(found > 0, typical(np.maximum(found, 1), s.least, s.base) - s.discount, 0.0)
-                whole = np.maximum(c_before, 1.0)
-                kept = np.minimum(mass[before] / whole, 0.999)
-                joint = np.where(c_before > 0, np.minimum(gain / whole, kept) + (1 - kept) * single, single)
-                results.append((part.column("doc_id"), part.column("text_key"), np.diff(at),
-                                texts.row_sums((c > 0).astype(np.int64), at), np.add.reduceat(np.log10(single), at[:-1]),
-                                np.add.reduceat(np.where(here, np.log10(joint), 0.0), at[:-1])))
+        for doc_id, text_key, own_tokens, at in held:
+            number = np.searchsorted(known, own_tokens)
+            c = counts[number]
+            single = (c + 1.0) / (n_tokens + 1.0 * (n_distinct + 1))
+            before = np.empty_like(number)
+            before[1:] = number[:-1]
+            before[at[:-1]] = np.searchsorted(known, START)
+            c_before = counts[before].astype(float)
+            c_before[at[:-1]] = docs_started  # as many texts begin as end
+            asked_pairs = pairs(own_tokens, at)
+            here = own.holds(asked_pairs)
+            found = np.zeros(len(asked_pairs), np.int64)
+            found[here] = own.levels(asked_pairs[here])
+            gain = np.where(found > 0, typical(np.maximum(found, 1), s.least, s.base) - s.discount, 0.0)
+            whole = np.maximum(c_before, 1.0)
+            kept = np.minimum(mass[before] / whole, 0.999)
+            joint = np.where(c_before > 0, np.minimum(gain / whole, kept) + (1 - kept) * single, single)
+            results.append((doc_id, text_key, np.diff(at),
+                            texts.row_sums((c > 0).astype(np.int64), at), np.add.reduceat(np.log10(single), at[:-1]),
+                            np.add.reduceat(np.where(here, np.log10(joint), 0.0), at[:-1])))
         return pa.table({
             **{name: pa.chunked_array([r[i] for r in results], pa.int64()) for i, name in enumerate(("doc_id", "text_key"))},
             **{name: pa.array(np.concatenate([r[i] for r in results])) for i, name in ((2, "n_tokens"), (3, "n_known"))},
@@ -359,7 +367,7 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
 
     asked = dealt.mapInArrow(ask, "block int, bucket int, keys binary")
     answers = asked.groupBy("bucket").cogroup(model.words.groupBy("bucket")).applyInArrow(
-        answer, "block int, keys binary, counts binary, mass binary")
+        answer, "block int, bucket int, counts binary, mass binary")
     if model.segment_bytes * n > s.part_bytes and n > 1:
         answers = stage(answers, "answers")  # read by every pass
     keyed = dealt.withColumn("text_key", F.xxhash64("text", F.lit(7)))
