@@ -19,6 +19,11 @@ WINDOW_SECONDS = 12
 SLIDE_SECONDS = 6
 
 
+def _equal(left: DataFrame, right: DataFrame, columns: list[str]) -> list[Column]:
+    """Join condition: equal in all columns, a null being equal to a null."""
+    return [left[c].eqNullSafe(right[c]) for c in columns]
+
+
 class TripTables:
     """The stored legs of both half-days and the trips they combine to.
 
@@ -27,7 +32,7 @@ class TripTables:
     """
 
     def __init__(self, path: str):
-        self.arrived = f"{path}/arrived"
+        self.arrived, self.near = f"{path}/arrived", f"{path}/near"
         self.legs = KeyedTable(f"{path}/legs", LEGS, LEG_KEY, sort_by="date")
         self.trips = KeyedTable(f"{path}/trips", TRIPS, TRIP_KEY, sort_by="origin_date")
 
@@ -66,23 +71,23 @@ class TripTables:
             first, last = F.lit(span["first"]), F.lit(span["last"])
             return F.col("date").between(F.date_add(first, shift), F.date_add(last, shift))
 
-        def stored(leg: str, shift: int) -> DataFrame:
-            near = (F.col("leg") == leg) & around(shift)
-            return self.legs.latest(spark, upto=batch_id, where=near)
+        # The stored legs are read once: those before this batch, kept for three uses.
+        near = self.legs.latest(
+            spark, upto=batch_id - 1, where=around(-STAY_DAYS) | around(0) | around(STAY_DAYS)
+        )
+        near.drop("batch_id").write.mode("overwrite").parquet(self.near)
+        before = spark.read.schema(LEGS).parquet(self.near)
 
-        changed = arrived
-        if batch_id > 0:
-            # A group that got records but kept its best leg renews nothing.
-            known = self.legs.latest(spark, upto=batch_id - 1, where=around(0))
-            same = [arrived[c].eqNullSafe(known[c]) for c in LEGS.fieldNames()]
-            changed = arrived.join(known, same, "left_anti")
+        # A group that got records but kept its best leg renews nothing.
+        changed = arrived.join(before, _equal(arrived, before, LEGS.fieldNames()), "left_anti")
         self.legs.upsert(changed, batch_id)
 
         changed = self.legs.changes(spark, batch_id)
-        onward = pair_legs(only_leg(changed, "am"), stored("pm", STAY_DAYS))
+        earlier = before.join(changed, _equal(before, changed, LEG_KEY), "left_anti")
+        changed_am, changed_pm = only_leg(changed, "am"), only_leg(changed, "pm")
+        onward = pair_legs(changed_am, only_leg(earlier, "pm").unionByName(changed_pm))
         # Morning legs of this batch are already paired above.
-        earlier = stored("am", -STAY_DAYS).where(F.col("batch_id") < batch_id)
-        renewed = onward.unionByName(pair_legs(earlier, only_leg(changed, "pm")))
+        renewed = onward.unionByName(pair_legs(only_leg(earlier, "am"), changed_pm))
         self.trips.upsert(renewed, batch_id)
 
     def fold(self, spark: SparkSession, batch_id: int, every: int) -> None:
