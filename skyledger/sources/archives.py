@@ -29,7 +29,9 @@ def unpack_lines(archives: DataFrame, lines_per_batch: int = LINES_PER_BATCH) ->
     """The lines of every CSV member: (`path`, `member`, `line`).
 
     Decompression is the one step Spark has no operator for; it runs as Arrow
-    batches, one archive at a time per task. Everything after it is column work.
+    batches, one archive at a time per task. Everything after it is column work. A task
+    is handed archives up to `spark.sql.execution.arrow.maxBytesPerBatch` (64 MB unless
+    set) together, and a larger one alone.
     """
 
     # Defined here so that it travels to the executors whole, without this package.
