@@ -3,8 +3,11 @@
 The filter holds each pair seen in training with its count on a logarithmic scale: level 1
 up to its own are inserted, and a look-up probes level after level until one is missing.
 Pairs are discounted, and what a context word has left goes to the smoothed probabilities of
-single words, whose counts are exact. The filter grows with the corpus; it is broadcast a
-part of bounded size at a time, and a pass over the texts probes the pairs of one part.
+single words, whose counts are exact. A pair that was not seen may still seem to be there; the
+number of hashes grows with the vocabulary, so that all such pairs after a word get little
+together, and what they are expected to get is taken from the single words' share. The filter
+grows with the corpus; it is broadcast a part of bounded size at a time, and a pass over the
+texts probes the pairs of one part.
 
 Hashes of words stand for words: 64 bits for single words, 32 and 32 for pairs.
 """
@@ -27,12 +30,13 @@ START = texts.mix(np.array([0x57A27], np.uint64))[0]  # what stands before the f
 
 @dataclasses.dataclass(frozen=True)
 class Settings:
-    """`part_bytes` bounds what is broadcast at a time; pairs of a count below `least` are
-    left to the single words. `block_bytes` of text are scored at a time, and counts are
+    """`part_bytes` bounds what is broadcast at a time; unseen pairs that the filter seems to
+    hold get at most `false_mass` of probability after any word, in expectation; pairs of a
+    count below `least` are left to the single words. `block_bytes` of text are scored at a time, and counts are
     merged in buckets of about `bucket_bytes` of text."""
 
     part_bytes: int = 64 << 20
-    hashes: int = 4
+    false_mass: float = 0.02
     base: float = 2.0**0.5
     least: int = 1
     discount: float = 0.75
@@ -85,6 +89,11 @@ def typical(levels: np.ndarray, least: int, base: float) -> np.ndarray:
     return np.ceil(least * base ** (levels - 1.0) - 1e-9)
 
 
+def hashes_for(distinct: int, s: Settings) -> int:
+    """So many that at half of the bits set, unseen pairs after a word seen once get `false_mass`."""
+    return max(4, int(np.ceil(np.log2(max(distinct, 1) * (s.least - s.discount) / s.false_mass))))
+
+
 def _split(bucket: np.ndarray, n: int, *arrays: np.ndarray):
     """(bucket, arrays of its entries) for each bucket that has some."""
     order = np.argsort(bucket, kind="stable")
@@ -122,12 +131,16 @@ class Filter:
         return (bucket >= self.first) & (bucket < self.first + len(self.segments))
 
     @staticmethod
-    def places(keys: np.ndarray, levels: np.ndarray, hashes: int, bits: int) -> np.ndarray:
-        """(hashes x keys) bits of a key at a level."""
-        h = texts.mix(keys + levels.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        low, high = h & np.uint64(0xFFFFFFFF), h >> np.uint64(32) | np.uint64(1)
-        rows = [(low + np.uint64(i) * high + np.uint64(i * i)) & np.uint64(0xFFFFFFFF) for i in range(hashes)]
-        return np.stack([(r * np.uint64(bits)) >> np.uint64(32) for r in rows]).astype(np.int64)
+    def halves(keys: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray]:
+        """What the places of each key at a level are made of."""
+        h = texts.mix(keys + np.uint64(at * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+        return h & np.uint64(0xFFFFFFFF), h >> np.uint64(32) | np.uint64(1)
+
+    @staticmethod
+    def place(low: np.ndarray, high: np.ndarray, i: int, bits: int) -> np.ndarray:
+        """Each key's bit by hash `i`."""
+        r = (low + np.uint64(i) * high + np.uint64(i * i)) & np.uint64(0xFFFFFFFF)
+        return ((r * np.uint64(bits)) >> np.uint64(32)).astype(np.int64)
 
     @staticmethod
     def segment(keys: np.ndarray, levels: np.ndarray, hashes: int, size: int) -> bytes:
@@ -135,7 +148,9 @@ class Filter:
         bits = np.zeros(size * 8, bool)
         for at in range(1, int(levels.max(initial=0)) + 1):
             keys, levels = keys[levels >= at], levels[levels >= at]
-            bits[Filter.places(keys, np.full(len(keys), at), hashes, size * 8).ravel()] = True
+            low, high = Filter.halves(keys, at)
+            for i in range(hashes):
+                bits[Filter.place(low, high, i, size * 8)] = True
         return np.packbits(bits).tobytes()
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
@@ -145,11 +160,11 @@ class Filter:
         flat, going, at = self.segments.reshape(-1), np.arange(len(keys)), 1
         base = (pair_bucket(keys, self.buckets) - self.first) * size
         while len(going):
-            place = self.places(keys[going], np.full(len(going), at), self.hashes, size * 8)
-            there = np.ones(len(going), bool)
-            for p in place:
-                there &= (flat[base[going] + (p >> 3)] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1
-            going = going[there]
+            low, high = self.halves(keys[going], at)
+            for i in range(self.hashes):
+                p = self.place(low, high, i, size * 8)
+                there = (flat[base[going] + (p >> 3)] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1
+                going, low, high = going[there], low[there], high[there]
             out[going] = at
             at += 1
         return out
@@ -158,11 +173,14 @@ class Filter:
 @dataclasses.dataclass
 class Model:
     """`words`: exact counts and pair mass by bucket; `pairs`: exact pair counts by bucket, of
-    which a filter segment of `segment_bytes` is made for each bucket. Both are staged tables."""
+    which a filter segment of `segment_bytes` is made for each bucket, by `hashes` hashes that an
+    unseen pair passes at `rate`. Both are staged tables."""
 
     words: DataFrame
     pairs: DataFrame
     segment_bytes: int
+    hashes: int
+    rate: float
     buckets: int
     tokens: int
     distinct: int
@@ -228,7 +246,9 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
 
     # a pair of level l is inserted l times; buckets are alike, with a tenth to spare
     inserted = sum(int(x) * at for at, x in enumerate(by_level))
-    size = int(max(64, s.hashes / np.log(2) * inserted / 8 / n * 1.1))
+    hashes = hashes_for(int(word_totals[0] or 0), s)
+    size = int(max(64, hashes / np.log(2) * inserted / 8 / n * 1.1))
+    rate = 0.5**hashes  # fewer than half of the bits are set
 
     def mass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Discounted counts of pairs, as the filter will give them, by context word."""
@@ -248,17 +268,17 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
     pair_counts = merged.where("kind = 1").select("bucket", "keys", "counts")
     kept = pair_counts.select("keys", "counts").mapInArrow(mass, "bucket int, kind int, keys binary, counts binary")
     words = stage(merged.where("kind = 0").select("bucket", "kind", "keys", "counts").unionByName(kept), "words")
-    return Model(words, pair_counts, size, n, int(word_totals[1] or 0), int(word_totals[0] or 0))
+    return Model(words, pair_counts, size, hashes, rate, n, int(word_totals[1] or 0), int(word_totals[0] or 0))
 
 
 def filter_parts(model: Model, settings: Settings = Settings()) -> Iterator[Filter]:
     """The filter, in parts of at most `part_bytes` (or one segment): at any size, all pairs are in."""
-    s, size = settings, model.segment_bytes
+    s, size, hashes = settings, model.segment_bytes, model.hashes
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b, k, c in zip(batch.column("bucket").to_pylist(), _read(batch.column("keys"), "<u8"), _read(batch.column("counts"), "<i8")):
-                raw = Filter.segment(k, level(c, s.least, s.base), s.hashes, size)
+                raw = Filter.segment(k, level(c, s.least, s.base), hashes, size)
                 yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([raw], pa.binary())], ["bucket", "bits"])
 
     step = max(1, s.part_bytes // size)
@@ -267,7 +287,7 @@ def filter_parts(model: Model, settings: Settings = Settings()) -> Iterator[Filt
         own = model.pairs.where(F.col("bucket").between(first, first + len(segments) - 1))
         for r in own.mapInArrow(build, "bucket int, bits binary").toLocalIterator():
             segments[r["bucket"] - first] = np.frombuffer(r["bits"], np.uint8)
-        yield Filter(segments, s.hashes, first, model.buckets)
+        yield Filter(segments, hashes, first, model.buckets)
 
 
 def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:
@@ -289,6 +309,7 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
     total = docs.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     blocks = int(max(8, -(-total // s.block_bytes)))
     n, n_tokens, n_distinct = model.buckets, model.tokens, model.distinct
+    unseen = model.rate * n_distinct * (s.least - s.discount)  # expected gain of all unseen pairs after a word
     dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,7 +376,8 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
             gain = np.where(found > 0, typical(np.maximum(found, 1), s.least, s.base) - s.discount, 0.0)
             whole = np.maximum(c_before, 1.0)
             kept = np.minimum(mass[before] / whole, 0.999)
-            joint = np.where(c_before > 0, np.minimum(gain / whole, kept) + (1 - kept) * single, single)
+            rest = np.maximum(1 - kept - np.minimum(unseen / whole, kept), 1e-9)
+            joint = np.where(c_before > 0, np.minimum(gain / whole, kept) + rest * single, single)
             results.append((doc_id, text_key, np.diff(at),
                             texts.row_sums((c > 0).astype(np.int64), at), np.add.reduceat(np.log10(single), at[:-1]),
                             np.add.reduceat(np.where(here, np.log10(joint), 0.0), at[:-1])))

@@ -168,6 +168,45 @@ def test_lm_base_is_exact_and_pairs_help(spark):
     assert lm.score(docs, lm.train(docs.limit(0))).count() == len(texts)
 
 
+def test_lm_scores_are_those_of_exact_pair_counts(spark):
+    pick = random.Random(12)
+    vocab = [f"v{i}" for i in range(3000)]
+    texts = [" ".join(pick.choice(vocab) for _ in range(60)) for _ in range(150)]
+    docs, s = docs_of(spark, texts), lm.Settings()
+    model = lm.train(docs.where("doc_id % 3 != 0"))
+    got = {r["doc_id"]: r["score"] for r in lm.score(docs, model).collect()}
+    single, both, mass = collections.Counter(), collections.Counter(), collections.Counter()
+    for i, t in enumerate(texts):
+        if i % 3:
+            words = [*t.split(), "<end>"]
+            single.update(words)
+            both.update(zip(["<start>", *words], words))
+    single["<start>"] = single["<end>"]
+    gain = {k: float(lm.typical(lm.level(np.array([c]), 1, s.base), 1, s.base)[0]) - s.discount for k, c in both.items()}
+    for (before, _), g in gain.items():
+        mass[before] += g
+    n, v = model.tokens, model.distinct
+    unseen = 0
+    for i, t in enumerate(texts):
+        words, want = [*t.split(), "<end>"], 0.0
+        for before, word in zip(["<start>", *words], words):
+            p, c = (single[word] + 1) / (n + v + 1), single[before]
+            kept = min(mass[before] / c, 0.999) if c else 0.0
+            want += math.log10(min(gain.get((before, word), 0.0) / c, kept) + (1 - kept) * p if c else p)
+            unseen += (before, word) not in gain
+        assert got[i] == pytest.approx(want, abs=0.02 * len(words))
+    assert unseen > 2000
+    # every word after every word: next to none that was not seen, and what they get is small
+    (own,) = lm.filter_parts(model)
+    hashes, _ = lm.tokens(pa.array([" ".join(vocab)]))
+    hashes = hashes[:-1]  # without the closing token
+    asked = ((hashes[:300, None] >> np.uint64(32)) << np.uint64(32) | hashes[None, :] >> np.uint64(32)).ravel()
+    seen = sum((a, b) in gain for a in vocab[:300] for b in vocab)
+    assert 0 <= (own.levels(asked) > 0).sum() - seen < 2 * model.rate * len(asked) < 100
+    assert model.rate * v * (1 - s.discount) <= s.false_mass
+    assert lm.hashes_for(1_000_000_000, s) > lm.hashes_for(1_000_000, s) > 20
+
+
 def test_bloom_levels_never_fall_short():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 2**63, 4000, dtype=np.uint64)
