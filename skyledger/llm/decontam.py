@@ -2,14 +2,15 @@
 
 A text region within k edits of a window of n bytes shares at least n - q + 1 - k * q of its
 q-grams, all near one diagonal. Documents are first thinned to regions dense enough in
-benchmark q-grams of any kind; there, shared q-grams are counted per window in overlapping
-bands of diagonals, and bands that meet the bound are aligned. Letter case (A-Z) and the
-amount of white space do not count.
+benchmark q-grams of any kind; there, shared q-grams are counted per item in overlapping
+bands of diagonals, then for every window of the item, and windows that meet the bound are
+aligned with their band. Letter case (A-Z) and the amount of white space do not count.
 """
 
 from __future__ import annotations
 
 import dataclasses
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,11 +23,12 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 LOWER[texts.SPACES] = 32
 Q = 8  # bytes of a q-gram: one 64-bit number
+CELLS = 1 << 20  # window counts held at a time
 
 
 @dataclasses.dataclass(frozen=True)
 class Settings:
-    """Windows of `window` bytes, half a window apart, may differ by `rate` of their length.
+    """Windows of `window` bytes, at every byte of an item, may differ by `rate` of their length.
 
     A shorter item is one window; one shorter than a q-gram is never found. The benchmark is
     sent to tasks in passes of about `pass_bytes`, however large it is.
@@ -59,39 +61,53 @@ def grams(chars: np.ndarray) -> np.ndarray:
 
 
 class Windows:
-    """Windows of benchmark items, and where each q-gram occurs in them."""
+    """Windows of benchmark items, and where each q-gram occurs in the items.
+
+    Windows are numbered by item and place: those of item `i` are `first_window[i]` and on, one
+    at each byte from the item's first. `item` of a window counts the items that are long enough.
+    """
 
     def __init__(self, items: list[tuple[int, str]], s: Settings):
-        self.owner, self.chars, self.edits = [], [], []
+        kept, owner = [], []
         for item, text in items:
             data = np.frombuffer((text or "").encode(), np.uint8)
             chars, _, _ = normal(data, np.array([0, len(data)]))
             if len(chars) and chars[-1] == 32:
                 chars = chars[:-1]
-            if len(chars) < Q:
-                continue
-            size = min(s.window, len(chars))
-            for begin in sorted({*range(0, len(chars) - size + 1, max(1, size // 2)), len(chars) - size}):
-                self.owner.append(item)
-                self.chars.append(chars[begin : begin + size])
-                self.edits.append(min(int(s.rate * size), (size - Q) // Q))
-        self.edits = np.array(self.edits, np.int64)
-        self.size = np.array([len(c) for c in self.chars], np.int64)
-        self.need = self.size - Q + 1 - self.edits * Q
+            if len(chars) >= Q:
+                kept.append(chars)
+                owner.append(item)
+        length = np.array([len(c) for c in kept], np.int64)
+        self.item_size = np.minimum(s.window, length)  # bytes of each window of an item
+        self.places = length - self.item_size + 1  # windows of each item
+        self.first_window = np.concatenate(([0], np.cumsum(self.places)))
+        self.item = np.repeat(np.arange(len(kept)), self.places)
+        self.owner = [owner[i] for i in self.item]
+        self.size = self.item_size[self.item]
+        budget = np.minimum((s.rate * self.item_size).astype(np.int64), (self.item_size - Q) // Q)
+        self.edits, self.need = budget[self.item], (self.item_size - Q + 1 - budget * Q)[self.item]
         self.step = int(max(1, self.edits.max(initial=0)))
-        if not self.owner:
+        if not kept:
             return
-        all_grams = np.concatenate([grams(c)[: len(c) - Q + 1] for c in self.chars])
-        counts = self.size - Q + 1
-        window = np.repeat(np.arange(len(counts)), counts)
-        offset = np.arange(len(window)) - np.repeat(np.cumsum(counts) - counts, counts)
+        self.text = np.concatenate(kept)
+        at = np.cumsum(length) - length
+        self.window_at = np.repeat(at - self.first_window[:-1], self.places) + np.arange(len(self.item))
+        all_grams = np.concatenate([grams(c)[: len(c) - Q + 1] for c in kept])
+        counts = length - Q + 1
+        item = np.repeat(np.arange(len(counts)), counts)
+        offset = np.arange(len(item)) - np.repeat(np.cumsum(counts) - counts, counts)
         order = np.argsort(all_grams, kind="stable")
         self.known, first = np.unique(all_grams[order], return_index=True)
         self.first = np.append(first, len(order))
-        self.window, self.offset = window[order], offset[order]
+        self.gram_item, self.offset = item[order], offset[order]
+        self.longest = int(length.max())
         self.table = np.zeros(1 << 22, bool)
         self.table[self._slot(self.known)] = True
 
+    @functools.cached_property
+    def chars(self) -> list[np.ndarray]:
+        return [self.text[a : a + n] for a, n in zip(self.window_at, self.size)]
+
     @staticmethod
     def _slot(x: np.ndarray) -> np.ndarray:
         return ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)).astype(np.int64)
@@ -122,21 +138,13 @@ class Windows:
         np.add.at(edges, upto[dense], -1)
         live = np.cumsum(edges[:-1]) > 0
         hit, number, row = hit[live], number[live], row[live]
-        # every place of the q-gram in a window, in the two bands that hold its diagonal
+        # every place of the q-gram in an item, in the two bands that hold its diagonal
         times = self.first[number + 1] - self.first[number]
         entry = np.repeat(self.first[number], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        window, diagonal = self.window[entry], np.repeat(hit, times) - self.offset[entry]
-        row = np.repeat(row, times)
-        band = (diagonal + self.size.max()) // self.step
-        keyed = np.stack([np.tile(row, 2), np.tile(window, 2), np.concatenate((band, band - 1))], axis=1)
-        order = np.lexsort(keyed.T[::-1])
-        keyed = keyed[order]
-        new = np.ones(len(keyed), bool)
-        new[1:] = (keyed[1:] != keyed[:-1]).any(axis=1)
-        begin = np.flatnonzero(new)
-        enough = np.diff(np.append(begin, len(keyed))) >= self.need[keyed[begin, 1]]
-        row, window, band = keyed[begin[enough]].T
-        low = band * self.step - self.size.max()
+        item, offset = self.gram_item[entry], self.offset[entry]
+        band = (np.repeat(hit, times) - offset + self.longest) // self.step
+        row, window, band = self._candidates(np.repeat(row, times), item, offset, band)
+        low = band * self.step - self.longest
         edits, end = self._align(chars, at, row, window, low)
         match = edits <= self.edits[window]
         row, window, edits, end = row[match], window[match], edits[match], end[match]
@@ -145,6 +153,41 @@ class Windows:
         first, last = place[np.minimum(start, len(place) - 1)], place[end - 1] + 1
         return row, window, edits, first - text_at[row], last - text_at[row]
 
+    def _candidates(self, row, item, offset, band):
+        """Rows, windows and bands in which as many q-grams are shared as the window's bound asks."""
+        row, item, offset = np.tile(row, 2), np.tile(item, 2), np.tile(offset, 2)
+        band = np.concatenate((band, band - 1))
+        order = np.lexsort((band, item, row))
+        row, item, offset, band = row[order], item[order], offset[order], band[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])
+        begin = np.flatnonzero(new)
+        count = np.diff(np.append(begin, len(row)))
+        group = np.flatnonzero(count >= self.need[self.first_window[item[begin]]])
+        out = []
+        # groups in parts: a number for each window of a group's item
+        cells = np.cumsum(self.places[item[begin[group]]] + 1)
+        for own in np.split(group, np.searchsorted(cells, np.arange(CELLS, cells[-1], CELLS))) if len(group) else []:
+            if not len(own):
+                continue
+            head = begin[own]
+            places = self.places[item[head]]
+            at = np.cumsum(places + 1) - (places + 1)
+            part = np.repeat(np.arange(len(own)), count[own])
+            hits = np.repeat(head, count[own]) + np.arange(len(part)) - np.repeat(np.cumsum(count[own]) - count[own], count[own])
+            reach = self.item_size[item[hits]] - Q  # a window that begins at most so far before holds the q-gram
+            change = np.zeros(int((places + 1).sum()), np.int64)
+            np.add.at(change, at[part] + np.maximum(offset[hits] - reach, 0), 1)
+            np.add.at(change, at[part] + np.minimum(offset[hits] + 1, places[part]), -1)
+            held = np.cumsum(change)  # each group adds up to 0
+            need = np.repeat(self.need[self.first_window[item[head]]], places + 1)
+            found = np.flatnonzero(held >= need)
+            part = np.searchsorted(at, found, "right") - 1
+            # a window that begins at byte p of its item lies on the diagonals of the item, moved by p
+            window = self.first_window[item[head[part]]] + found - at[part]
+            out.append((row[head[part]], window, band[head[part]]))
+        return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+
     def _align(self, chars, at, row, window, low):
         """Least edits of each window against the text on its band, and where that match ends.
 
@@ -158,8 +201,9 @@ class Windows:
             for own in np.array_split(np.flatnonzero(self.size[window] == size), 1 + len(window) // 4096):
                 if not len(own):
                     continue
-                pattern = np.stack([self.chars[w] for w in window[own]])
-                left = low[own] - self.step  # text place of diagonal 0
+                pattern = self.text[self.window_at[window[own]][:, None] + np.arange(size)]
+                begin = window[own] - self.first_window[self.item[window[own]]]  # the window's place in its item
+                left = low[own] + begin - self.step  # text place of diagonal 0
                 lo, hi = at[row[own]][:, None], at[row[own] + 1][:, None]
                 cost = np.zeros((len(own), width), np.int32)
                 for i in range(int(size)):

@@ -261,6 +261,45 @@ def test_passages_match_brute_force(spark):
     assert decontam.find_passages(docs, benchmark.limit(0)).count() == 0
 
 
+def brute_windows(item: bytes, size: int, text: bytes) -> np.ndarray:
+    """Least edits of the window at each byte of an item against any part of a text."""
+    every = np.lib.stride_tricks.sliding_window_view(np.frombuffer(item, np.uint8), size)
+    chars, slope = np.frombuffer(text, np.uint8), np.arange(len(text) + 1)
+    row = np.zeros((len(every), len(text) + 1), np.int64)
+    for i in range(size):
+        new = row + 1
+        new[:, 1:] = np.minimum(new[:, 1:], row[:, :-1] + (every[:, i : i + 1] != chars))
+        row = np.minimum.accumulate(new - slope, axis=1) + slope
+    return row.min(axis=1)
+
+
+def test_excerpts_at_any_place_are_passages(spark):
+    pick = random.Random(21)
+    vocab = ["".join(pick.choices("abcdeghiklmnorstu", k=pick.randint(2, 8))) for _ in range(400)]
+    items = [(i, prose(pick, vocab, 44)) for i in range(3)]
+    texts = []
+    for k in range(45):
+        source = items[k % 3][1]
+        size = pick.choice([85, 92, 96, 100, 100, 110])
+        begin = pick.randrange(len(source) - size)
+        chars = list(source[begin : begin + size])
+        for _ in range(pick.choice([0, 0, 0, 3, 8, 10])):
+            at = pick.randrange(len(chars))
+            chars[at : at + 1] = pick.choice([[], ["q"], [chars[at], "z"]])
+        texts.append(prose(pick, vocab, 12) + "".join(chars) + prose(pick, vocab, 12))
+    windows = decontam.Windows(items, decontam.Settings())
+    row, window, edits, _, _ = windows.find(pa.array(texts))
+    got = {(r, windows.owner[w], w - windows.owner.index(windows.owner[w])) for r, w in zip(row.tolist(), window.tolist())}
+    want = {(d, i, p) for d, text in enumerate(texts) for i, item in items
+            for p in np.flatnonzero(brute_windows(item.encode(), 100, text.encode()) <= 8).tolist()}
+    assert got == want and len({d for d, _, _ in want}) > 15 and edits.max() == 8
+    # a verbatim excerpt of the window's size, at each byte in turn
+    whole = items[0][1]
+    texts = [f"zq {whole[b : b + 100]} zq" for b in range(len(whole) - 100 + 1)]
+    found = decontam.find_passages(docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r["doc_id"], r["item_id"]) for r in found.collect()) == [(d, 0) for d in range(len(texts))]
+
+
 # --- sharding
 
 def test_shards(spark):
