@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import chat, decontam, embeddings, langid, lm, minhash, packing, sharding, toxicity, warc
+from skyledger.llm import (
+    chat, decontam, embeddings, langid, lm, minhash, packing, pieces, ranked, repair, sharding, toxicity, warc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,7 +87,31 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.balanced_shards(table(spark, sf_dir, "documents"), 24)
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = pieces.encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "item_id", "rank", "doc_id", "score")
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    reports = repair.repair(repair.damage(turns)).reports().withColumnRenamed("conv_id", "own_id")
+    # a conversation that lost all its rows has no report
+    every = turns.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(reports, F.col("conv_id").eqNullSafe(F.col("own_id")), "left").select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_minhash, op2_toxicity, op3_packing, op4_lm, op5_langid, op6_warc, op7_chat,
-        op8_decontamination, op9_embeddings, op10_sharding)}
+        op8_decontamination, op9_embeddings, op10_sharding, op11_pieces, op12_ranked, op13_repair)}
