@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import inspect
 import os
+import shutil
+import subprocess
+import sys
 
 import pytest
 
@@ -55,3 +58,21 @@ def test_results_do_not_depend_on_the_session(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_entry_without_the_training_text_operators(tmp_path):
+    """A copy of the tree without them still has every other query, and runs one."""
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "llm", "__pycache__", "spark-warehouse"))
+    (copy / "skyledger" / "llm" / "__pycache__").mkdir(parents=True)  # what a deletion may leave behind
+    program = (
+        "import __spark_entry__ as e; from pyspark.sql import SparkSession; "
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate(); "
+        f"print(len(e.queries()), len(e.oracle_sql()), os.path.isdir('{SF_DIR}') and e.queries()['weekday_delay'](s, '{SF_DIR}').count())"
+    )
+    done = subprocess.run([sys.executable, "-c", f"import os; {program}"], cwd=copy, capture_output=True, text=True,
+                          env={**os.environ, "PYTHONPATH": str(copy)}, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    n = str(len(queries.queries()))
+    assert done.stdout.split()[-3:-1] == [n, n]
