@@ -196,8 +196,8 @@ def publish_records(
 ) -> str:
     """Publish all records in order of arrival; returns the topic folder.
 
-    `closing` adds one last record a day later, which moves the watermark past every
-    window before it and stays in a window that never closes.
+    `closing` adds a last leg of each half-day a day later. They move the watermarks past every
+    window before them and stay in windows that never close.
     """
     raw = derived.raw_flights(spark, sf_dir, with_arrival=True)
     clean = cleaning.clean_on_time(raw, year, keep=["timestamp"])
@@ -208,11 +208,14 @@ def publish_records(
         F.floor(second * rounds / derived.ARRIVAL_SPAN), rounds,
     )
     if closing:
+        sent = spark.read.schema(topics.TOPIC).parquet(folder)
+        legs = leg_ops.timed_legs(flights_from_lines(sent, keep=["value", "timestamp"]), keep=["value", "timestamp"])
+        # One row, of which two are made.
         last = stage(
-            spark.read.schema(topics.TOPIC).parquet(folder).agg(
-                F.min("value").alias("value"),
+            legs.agg(
+                F.array(*[F.min(F.when(F.col("leg") == half, F.col("value"))) for half in ("am", "pm")]).alias("values"),
                 F.timestamp_add("DAY", F.lit(1), F.max("timestamp")).alias("timestamp"),
-            ),
+            ).select(F.explode("values").alias("value"), "timestamp").where("value IS NOT NULL"),
             "closing",
         )
         last.write.mode("append").parquet(folder)
@@ -363,6 +366,16 @@ def stream_trips_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{work}/out/trips").select(*schema.fieldNames())
 
 
+def stream_trips_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topic, work = _published(spark, sf_dir, rounds=6, year=TRIP_YEAR, closing=True)
+    query = trip_streams.joined_trips(topic, f"{work}/out", f"{work}/cp", seconds=None)
+    query.awaitTermination()
+    if late := runs.dropped_rows(query):
+        raise RuntimeError(f"{late} records came behind the watermark")
+    schema = schemas.extended(schemas.TRIPS, "window_start", T.LongType())
+    return spark.read.schema(schema).parquet(f"{work}/out").select(*schema.fieldNames())
+
+
 def stream_record_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records counted batch by batch, added up."""
     topic, work = _published(spark, sf_dir)
@@ -434,6 +447,7 @@ def queries() -> dict[str, Query]:
         "stream_trip_destinations": stream_trip_destinations,
         "stream_legs_at": stream_legs_at,
         "stream_trips_windowed": stream_trips_windowed,
+        "stream_trips_joined": stream_trips_joined,
         "stream_record_count": stream_record_count,
         "replay_files": replay_files,
     }

@@ -10,7 +10,7 @@ from skyledger.functions import clock
 STAY_DAYS = 2
 
 
-def timed_legs(flights: DataFrame, pm_from_hour: int = 12) -> DataFrame:
+def timed_legs(flights: DataFrame, pm_from_hour: int = 12, keep: list[str] | None = None) -> DataFrame:
     """Flights usable as a leg, under leg names, tagged `am` or `pm`.
 
     A record without an arrival delay, such as a malformed line, is no leg: it could not
@@ -27,7 +27,7 @@ def timed_legs(flights: DataFrame, pm_from_hour: int = 12) -> DataFrame:
         F.col("dest").alias("destination"),
         F.col("flight_date").alias("date"),
         clock.half_of_day(F.col("flight_datetime")).alias("leg"),
-        *[F.col(c) for c in flights.columns if c == "arrival_time"],
+        *[F.col(c) for c in flights.columns if c == "arrival_time" or c in (keep or [])],
     )
 
 

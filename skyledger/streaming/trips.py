@@ -12,7 +12,7 @@ from skyledger.operators.legs import (
 from skyledger.schemas import LEG_KEY, LEGS, TRIP_KEY, TRIPS
 from skyledger.sinks.keyed import FOLD_EVERY, KeyedTable
 from skyledger.sources.records import flights_from_lines
-from skyledger.streaming.runs import BATCH_SECONDS, WINDOWED_BATCH_SECONDS, each_batch
+from skyledger.streaming.runs import BATCH_SECONDS, WINDOWED_BATCH_SECONDS, each_batch, start
 
 # Seconds an arrival window spans, and seconds between two windows.
 WINDOW_SECONDS = 12
@@ -121,6 +121,39 @@ def incremental_trips(
     return each_batch(legs, handle, checkpoint, "update", seconds)
 
 
+def joined_trips(
+    topic: DataFrame, out: str, checkpoint: str,
+    year: int | None = None, pm_from_hour: int = 12,
+    seconds: int | None = WINDOWED_BATCH_SECONDS, late_seconds: int = WINDOW_SECONDS,
+) -> StreamingQuery:
+    """The trips of `windowed_trips`, as one streaming plan: two windowed aggregates, joined.
+
+    Each half-day has its own watermark, and the stream's is the lesser of the two: a window
+    closes once records of both halves came `late_seconds` after its end. Legs of a closed
+    window leave the aggregates for the join, which holds them until its own watermark
+    passes the window; so state ends with the windows, whatever the stream's length. Rows go
+    to Parquet files whose log names each batch's files once, also if a batch is replayed.
+
+    The topic is read by both halves, with their filters at the scan. `windowed_trips` reads
+    it once but pairs legs outside the streaming plan.
+    """
+    window = F.window("arrival_time", f"{WINDOW_SECONDS} seconds", f"{SLIDE_SECONDS} seconds")
+
+    def half(leg: str) -> DataFrame:
+        arrived = topic.withWatermark("timestamp", f"{late_seconds} seconds")
+        flights = flights_from_lines(arrived, keep=["timestamp"])
+        if year is not None:
+            flights = flights.where(F.col("year") == year)
+        legs = only_leg(timed_legs(flights.withColumnRenamed("timestamp", "arrival_time"), pm_from_hour), leg)
+        best = legs.groupBy(window, "origin", "destination", "date", "leg").agg(least_delayed().alias("best"))
+        # The aggregate's own window column carries the watermark into the join.
+        return best.select("window", "best.*")
+
+    pairs = pair_legs(half("am"), half("pm"), also_on=["window"])
+    rows = pairs.withColumn("window_start", F.unix_seconds("window.start")).drop("window")
+    return start(rows.writeStream.outputMode("append").format("parquet").option("path", out), checkpoint, seconds)
+
+
 def windowed_trips(
     topic: DataFrame, out: str, checkpoint: str,
     year: int | None = None, pm_from_hour: int = 12,

@@ -213,6 +213,34 @@ def test_windowed_trips(spark, flights, publish, tmp_path):
     assert {tuple(r) for r in got} == expected and len(got) == len(expected)
 
 
+def test_joined_trips_and_their_state(spark, flights, publish, tmp_path):
+    """One streaming plan gives the windows' trips, and its state ends with the windows."""
+    rows = random_flights(10, 400)
+    rounds = [rows[i * 100:(i + 1) * 100] for i in range(4)]
+    seconds = [0, 7, 20, 33]
+    halves = [[next(r for r in rows if (r[2].hour < 12) == morning)] for morning in (True, False)]
+    topic = publish(*rounds, halves[0] + halves[1], seconds=[*seconds, 86400])
+    out = str(tmp_path / "out")
+    query = trip_streams.joined_trips(topic, out, str(tmp_path / "cp"), seconds=None)
+    run(query)
+    schema = schemas.extended(schemas.TRIPS, "window_start", T.LongType())
+    got = spark.read.schema(schema).parquet(out).select(*schema.fieldNames()).collect()
+
+    expected = set()
+    start = int(START.timestamp())
+    for window in range(-6, 42, 6):
+        inside = [r for s, part in zip(seconds, rounds) if window <= s < window + 12 for r in part]
+        expected |= {(*t, start + window) for t in brute_trips(inside)}
+    assert {tuple(r) for r in got} == expected and len(got) == len(expected)
+
+    held = [sum(x.numRowsTotal for x in p.stateOperators) for p in query.recentProgress]
+    assert {x.operatorName for p in query.recentProgress for x in p.stateOperators} == {"symmetricHashJoin", "stateStoreSave"}
+    # only the two closing legs, each in two windows, are left
+    assert held[-1] == 4 and max(held) > 100
+    # as in any batch: legs of windows that the watermark had passed are gone
+    assert held[-2] < max(held)
+
+
 def test_replay_of_files_in_several_batches(spark, flights, tmp_path):
     rows = flights(random_flights(11, 90)).repartition(3)
     source, topic = str(tmp_path / "src"), str(tmp_path / "topic")
