@@ -3,7 +3,8 @@
 Writing: pages become WARC/1.1 records as text lines that end with the blank lines a record
 ends with, so Spark's text writer puts archives wherever Spark can write. Reading: each
 archive is parsed in a task and gives an index run sorted by URL key and capture time.
-Runs are dealt to ranges of the key, and a loser tree merges the runs' slices of a range.
+Runs are dealt to ranges of the key, and a loser tree merges the runs' slices of a range,
+which keep the order their run has. Archives may be of one gzip member or of many.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from collections.abc import Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from skyledger.session import new_path, stage
 
 RECORDS_PER_ARCHIVE = 2_000
+ARCHIVE_BYTES = 64 << 20
 ENTRIES_PER_RANGE = 50_000
 RECORD_END = "\r\n\r\n"
 
@@ -53,9 +55,14 @@ def decide(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     return pages.join(groups, ["sha1", "payload_bytes"], "left").withColumn("refers_to", refers).drop("first")
 
 
-def write_archives(decided: DataFrame, path: str, records_per_archive: int = RECORDS_PER_ARCHIVE) -> None:
-    """One record per row, in gzip-compressed archives of a bounded number of records.
+def write_archives(
+    decided: DataFrame, path: str, records_per_archive: int = RECORDS_PER_ARCHIVE, archive_bytes: int = ARCHIVE_BYTES
+) -> None:
+    """One record per row, in gzip-compressed archives of at most so many records and bytes.
 
+    Records of some size, within a factor of two, go to archives of their own, as many to
+    each as fit; those below `archive_bytes / records_per_archive` share theirs. A record
+    larger than that bound is an archive by itself.
     Control characters in a URL are percent-encoded; a null URL or id is written as `-`.
     """
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
@@ -75,25 +82,47 @@ def write_archives(decided: DataFrame, path: str, records_per_archive: int = REC
                                  text("refers_to"), F.lit(">"))).otherwise(""),
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), length.cast("string"),
         F.lit("\r\n\r\n"), http, body)
-    (decided.select(record.alias("record")).write.option("lineSep", RECORD_END)
-     .option("compression", "gzip").option("maxRecordsPerFile", records_per_archive).text(path))
+    # no record is longer: what is not payload or URL takes some 600 bytes
+    longest = F.col("payload_bytes") + 3 * F.coalesce(F.octet_length("url"), F.lit(0)) + 1024
+    least = max(10, (archive_bytes // records_per_archive).bit_length() - 1)
+    size = F.greatest(F.ceil(F.log2(longest)).cast("int"), F.lit(least)).alias("size")
+    # a row per power of two
+    sizes = sorted(r["size"] for r in decided.select(size).distinct().collect())
+    for power in sizes or [least]:
+        (decided.where(size == power).select(record.alias("record")).write.mode("append").option("lineSep", RECORD_END)
+         .option("compression", "gzip")
+         .option("maxRecordsPerFile", max(1, min(records_per_archive, archive_bytes >> power))).text(f"{path}/size={power}"))
 
 
 class Unzipped:
-    """Reads lines and blocks from a gzip-compressed archive, a part at a time."""
+    """Reads lines and blocks from a gzip-compressed archive, a part at a time.
+
+    Any number of gzip members follow each other, as archives with one per record have
+    them; zeros may pad their ends. What ends within a member is an error.
+    """
 
     def __init__(self, raw: bytes, part: int = 1 << 18):
         self.raw, self.at, self.part, self.held = raw, 0, part, bytearray()
-        self.zip = zlib.decompressobj(31)
+        self.zip, self.rest = None, b""
 
     def more(self) -> bool:
-        if self.at >= len(self.raw):
-            return False
-        self.held += self.zip.decompress(self.raw[self.at : self.at + self.part])
-        self.at += self.part
-        if self.zip.eof and self.zip.unused_data:  # members may follow each other
-            rest, self.zip = self.zip.unused_data, zlib.decompressobj(31)
-            self.held += self.zip.decompress(rest)
+        """Unpacks up to four times a part; false at the end of the archive."""
+        if not self.rest:
+            self.rest = self.raw[self.at : self.at + self.part]
+            self.at += len(self.rest)
+        if self.zip is None:
+            self.rest = self.rest.lstrip(b"\0")
+            if not self.rest:
+                return self.at < len(self.raw)
+            self.zip = zlib.decompressobj(31)
+        ended = not self.rest
+        found = self.zip.decompress(self.rest, 4 * self.part)
+        self.held += found
+        self.rest = self.zip.unconsumed_tail
+        if self.zip.eof:
+            self.rest, self.zip = self.zip.unused_data, None
+        elif ended and not found:
+            raise ValueError("an archive ends within a gzip member")
         return True
 
     def block(self, size: int) -> bytes:
@@ -156,9 +185,9 @@ def _number(field: str | None) -> int | None:
 
 
 ENTRY = ("url_key string, captured string, page_id long, run string, place long, record_type string, "
-         "payload_bytes long, payload_digest string, refers_to long")
+         "payload_bytes long, payload_digest string, refers_to long, position long")
 NAMES = [c.split()[0] for c in ENTRY.split(", ")]
-KINDS = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+KINDS = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
 
 
 def _entry_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -172,9 +201,11 @@ def _order(entry) -> tuple:
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """Index entries of all archives below `path`, each archive's in order of URL key and time.
 
+    `position` is an entry's place in this order of its run.
+
     A response's digest and size are taken from its payload and must agree with its head; a
     revisit's come from its head. An archive is unpacked a part at a time, and one archive
-    is one binary value, so it must stay below 2 GB.
+    is one binary value, so those of others must stay below 2 GB.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +223,7 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
                     entries.append((url_key(fields["warc-target-uri"]), fields["warc-date"], _number(fields["warc-record-id"]),
                                     name, place, fields["warc-type"], size, digest, _number(fields.get("warc-refers-to"))))
                 entries.sort(key=_order)
-                yield _entry_batch(entries)
+                yield _entry_batch([(*entry, position) for position, entry in enumerate(entries)])
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(run, ENTRY)
@@ -237,13 +268,14 @@ def merged_index(runs: DataFrame, entries_per_range: int = ENTRIES_PER_RANGE) ->
 
     `runs` is read more than once, so give a written table. Ranges are cut by the whole
     order, so that many captures of one URL spread over tasks; each holds about
-    `entries_per_range` entries. `index_range` and `index_place` number them in order, and
-    `capture` counts the captures of a URL key within its range from 0.
+    `entries_per_range` entries. A run's entries reach a range by their position in the run,
+    and the loser tree does the rest. `index_range` and `index_place` number the entries in
+    order, and `capture` counts the captures of a URL key from 0, over all ranges it spans.
     """
     keys = ["url_key", "captured", "page_id", "run", "place"]
     ranges = max(1, -(-runs.count() // entries_per_range))
     dealt = runs.repartitionByRange(ranges, *[F.asc_nulls_first(k) for k in keys]).withColumn(
-        "index_range", F.spark_partition_id()).sortWithinPartitions("run", *[F.asc_nulls_first(k) for k in keys])
+        "index_range", F.spark_partition_id()).sortWithinPartitions("run", "position")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slices: dict[str, list[tuple]] = {}
@@ -272,7 +304,29 @@ def merged_index(runs: DataFrame, entries_per_range: int = ENTRIES_PER_RANGE) ->
              pa.array(range(place, place + len(out)), pa.int64()), pa.array(captures, pa.int64())],
             [*NAMES, "index_range", "index_place", "capture"])
 
-    return dealt.mapInArrow(run, f"{ENTRY}, index_range int, index_place long, capture long")
+    merged = stage(dealt.mapInArrow(run, f"{ENTRY}, index_range int, index_place long, capture long"), "index")
+    return _whole_histories(merged)
+
+
+def _whole_histories(merged: DataFrame) -> DataFrame:
+    """Adds to `capture` what earlier ranges hold of the URL key a range begins with.
+
+    Only a range's first key can have begun before it, and all ranges that hold an earlier
+    part of that key end with it; so one small row per range tells.
+    """
+    ends = merged.groupBy("index_range").agg(
+        F.min("url_key").alias("first"), F.max("url_key").alias("last"),
+        (F.max(F.struct("url_key", "capture"))["capture"] + 1).alias("n"))
+    earlier = Window.partitionBy("last").orderBy("index_range").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("before", F.sum("n").over(earlier))
+    # a range within a key goes on from those before it; one that begins with another's last key has all of that
+    whole = ends.groupBy(F.col("last").alias("key")).agg(F.sum("n").alias("total"))
+    told = ends.join(whole, F.col("first") == F.col("key"), "left").select(
+        F.col("index_range").alias("own_range"), "first",
+        F.coalesce(F.when(F.col("first") == F.col("last"), F.col("before")).otherwise(F.col("total")), F.lit(0)).alias("ahead"))
+    more = F.when(F.col("url_key") == F.col("first"), F.col("ahead")).otherwise(0)
+    return merged.join(told, merged["index_range"] == told["own_range"]).withColumn(
+        "capture", F.col("capture") + more).drop("own_range", "first", "ahead", "position")
 
 
 def archive_and_index(pages: DataFrame, least_bytes: int = 0, path: str | None = None) -> DataFrame:

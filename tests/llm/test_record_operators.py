@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import random
 
@@ -55,6 +56,68 @@ def test_index_is_in_global_order(spark):
     assert keys == sorted(keys) and len(keys) == 600 and len({r["index_range"] for r in got}) > 3
 
 
+def test_histories_span_ranges(spark):
+    """A URL with most captures lies in many ranges, and others straddle one edge."""
+    pick = random.Random(6)
+    urls = [f"http://{x}.org/" for x in "abcdefgh"] + ["http://hot.org/"] * 20
+    rows = [(i, pick.choice(urls), f"text {i}") for i in range(700)]
+    folder = spark.conf.get("spark.checkpoint.dir") + "/archives-hot"
+    warc.write_archives(warc.decide(pages_of(spark, rows)), folder, records_per_archive=60)
+    runs = warc.stage(warc.read_runs(spark, folder), "runs")
+    for size in (20, 50, 300, 10_000):
+        got = warc.merged_index(runs, entries_per_range=size).orderBy("index_range", "index_place").collect()
+        seen = {}
+        for r in got:
+            assert r["capture"] == seen.get(r["url_key"], 0)
+            seen[r["url_key"]] = r["capture"] + 1
+        assert len(got) == 700 and [(r["url_key"], r["page_id"]) for r in got] == sorted((r["url_key"], r["page_id"]) for r in got)
+
+
+def one_record(i, size):
+    body = b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\n\r\n" % size + random.Random(i).randbytes(size)
+    head = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: %d" % (i, len(body))
+    return head + b"\r\n\r\n" + body + b"\r\n\r\n", body
+
+
+@pytest.mark.parametrize("members", [1, 7, 200])
+def test_archives_of_many_members(members, monkeypatch):
+    whole = [one_record(i, pick) for i, pick in enumerate([0, 10, 3_000, 70_000] * 50)]
+    step = -(-len(whole) // members)
+    packed = [gzip.compress(b"".join(r for r, _ in whole[i : i + step])) for i in range(0, len(whole), step)]
+    raw = b"".join(packed)
+    edge = len(packed[0])  # a member that ends where a part does
+    for part in {1 << 18, edge, 1_000, 2 * edge}:
+        monkeypatch.setattr(warc.Unzipped.__init__, "__defaults__", (part,))
+        assert [b for _, b in warc.records(raw)] == [b for _, b in whole]
+    assert len(list(warc.records(raw + b"\0" * 700))) == len(whole)
+    for cut in (len(raw) - 1, len(raw) - 9, len(raw) // 2, len(raw) - len(packed[-1]) // 2):
+        with pytest.raises((ValueError, EOFError)):
+            list(warc.records(raw[:cut]))
+    assert not list(warc.records(b"")) and not list(warc.records(gzip.compress(b"")))
+
+
+def test_what_unpacks_to_much_is_read_in_parts():
+    source = warc.Unzipped(gzip.compress(b"0" * 50_000_000))
+    seen = 0
+    while source.more():
+        assert len(source.held) <= 4 * source.part
+        seen += len(source.held)
+        source.held.clear()
+    assert seen == 50_000_000
+
+
+def test_archives_are_cut_by_bytes(spark):
+    pick = random.Random(3)
+    rows = [(i, f"http://a.org/{i}", "".join(pick.choices("abcdefghijklmnop ", k=n)))
+            for i, n in enumerate([10] * 300 + [5_000] * 60 + [40_000] * 20 + [300_000] * 3)]
+    folder = spark.conf.get("spark.checkpoint.dir") + "/archives-by-bytes"
+    pages = pages_of(spark, rows).coalesce(1)
+    warc.write_archives(warc.decide(pages), folder, records_per_archive=100, archive_bytes=200_000)
+    runs = warc.read_runs(spark, folder).groupBy("run").agg(F.sum("payload_bytes").alias("bytes"), F.count("*").alias("n")).collect()
+    assert sum(r["n"] for r in runs) == len(rows) and max(r["n"] for r in runs) <= 100
+    assert all(r["bytes"] <= 200_000 or r["n"] == 1 for r in runs)
+
+
 def test_loser_tree_merges():
     pick = random.Random(2)
     for k in (0, 1, 2, 3, 7, 16):
