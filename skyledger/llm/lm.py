@@ -5,9 +5,11 @@ up to its own are inserted, and a look-up probes level after level until one is
 Pairs are discounted, and what a context word has left goes to the smoothed probabilities of
 single words, whose counts are exact. A pair that was not seen may still seem to be there; the
 number of hashes grows with the vocabulary, so that all such pairs after a word get little
-together, and what they are expected to get is taken from the single words' share. The filter
-grows with the corpus; it is broadcast a part of bounded size at a time, and a pass over the
-texts probes the pairs of one part.
+together, and what they are expected to get is taken from the single words' share. What a
+false hit gives falls with the count of the word before, so pairs after frequent words are
+held by fewer hashes; and as a higher level counts only where the first is held, those
+take few. The filter grows with the corpus; it is broadcast a part of bounded size at a
+time, and a pass over the texts probes the pairs of one part.
 
 Hashes of words stand for words: 64 bits for single words, 32 and 32 for pairs.
 """
@@ -32,7 +34,9 @@ START = texts.mix(np.array([0x57A27], np.uint64))[0]  # what stands before the f
 class Settings:
     """`part_bytes` bounds what is broadcast at a time; unseen pairs that the filter seems to
     hold get at most `false_mass` of probability after any word, in expectation; pairs of a
-    count below `least` are left to the single words. `block_bytes` of text are scored at a time, and counts are
+    count below `least` are left to the single words. Levels above the first take
+    `upper_hashes`; words seen `often` times or more have fewer hashes after them, as far as a
+    table of `most_often` words holds the most frequent. `block_bytes` of text are scored at a time, and counts are
     merged in buckets of about `bucket_bytes` of text."""
 
     part_bytes: int = 64 << 20
@@ -40,6 +44,9 @@ class Settings:
     base: float = 2.0**0.5
     least: int = 1
     discount: float = 0.75
+    upper_hashes: int = 6
+    often: int = 64
+    most_often: int = 1 << 20
     chunk_bytes: int = 8 << 20
     block_bytes: int = 8 << 20
     bucket_bytes: int = 8 << 20
@@ -89,11 +96,50 @@ def typical(levels: np.ndarray, least: int, base: float) -> np.ndarray:
     return np.ceil(least * base ** (levels - 1.0) - 1e-9)
 
 
+def believed(levels: np.ndarray, least: int, base: float) -> np.ndarray:
+    """Levels as found, or the next below that some count has: what no count has is a false hit."""
+    every = np.arange(1, int(levels.max(initial=1)) + 1)
+    real = level(typical(every, least, base), least, base) == every
+    real[0] = True
+    return np.concatenate(([0], np.maximum.accumulate(np.where(real, every, 0))))[levels]
+
+
 def hashes_for(distinct: int, s: Settings) -> int:
     """So many that at half of the bits set, unseen pairs after a word seen once get `false_mass`."""
     return max(4, int(np.ceil(np.log2(max(distinct, 1) * (s.least - s.discount) / s.false_mass))))
 
 
+@dataclasses.dataclass
+class Often:
+    """Upper halves of frequent words' hashes, in order, and how many hashes hold a pair after each.
+
+    Counts add up to the number of tokens, so no more than `most_often` words can have
+    the count that is asked for.
+    """
+
+    halves: np.ndarray
+    hashes: np.ndarray
+    other: int
+
+    @staticmethod
+    def of(halves: np.ndarray, counts: np.ndarray, distinct: int, s: Settings) -> Often:
+        other = hashes_for(distinct, s)
+        kept, place = np.unique(halves, return_inverse=True)
+        least = np.full(len(kept), np.iinfo(np.int64).max)
+        np.minimum.at(least, place, counts)
+        saved = np.floor(np.log2(least)).astype(np.int64) if len(kept) else least
+        return Often(kept, np.maximum(4, other - saved).astype(np.uint8), other)
+
+    def after(self, keys: np.ndarray) -> np.ndarray:
+        """The number of hashes of each pair, by its first word."""
+        out = np.full(len(keys), self.other, np.uint8)
+        if len(self.halves):
+            context = (keys >> np.uint64(32)).astype(np.uint32)
+            place = np.minimum(np.searchsorted(self.halves, context), len(self.halves) - 1)
+            out = np.where(self.halves[place] == context, self.hashes[place], out)
+        return out
+
+
 def _split(bucket: np.ndarray, n: int, *arrays: np.ndarray):
     """(bucket, arrays of its entries) for each bucket that has some."""
     order = np.argsort(bucket, kind="stable")
@@ -118,12 +164,15 @@ def _read(column, kind: str) -> list[np.ndarray]:
 class Filter:
     """Segments of one bit array; a pair's bucket names its segment.
 
-    `segments` are those of buckets `first` and on, of `buckets` in all.
+    `segments` are those of buckets `first` and on, of `buckets` in all. `often` says how
+    many of the `hashes` hold a pair; without it all do.
     """
 
-    def __init__(self, segments: np.ndarray, hashes: int, first: int = 0, buckets: int | None = None):
+    def __init__(self, segments: np.ndarray, hashes: int, first: int = 0, buckets: int | None = None,
+                 often: Often | None = None, upper: int = 6):
         self.segments, self.hashes = segments, hashes  # buckets x bytes
         self.first, self.buckets = first, buckets or len(segments)
+        self.often, self.upper = often, min(upper, hashes)
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
         """Whether the segments of the keys are here."""
@@ -143,14 +192,18 @@ class Filter:
         return ((r * np.uint64(bits)) >> np.uint64(32)).astype(np.int64)
 
     @staticmethod
-    def segment(keys: np.ndarray, levels: np.ndarray, hashes: int, size: int) -> bytes:
-        """The bit array of `size` bytes with every level of every key inserted."""
+    def segment(keys: np.ndarray, levels: np.ndarray, hashes, size: int, upper: int = 6) -> bytes:
+        """The bit array of `size` bytes with every level of every key inserted; `hashes` of all keys, or of each."""
         bits = np.zeros(size * 8, bool)
+        hashes = np.broadcast_to(hashes, keys.shape)
         for at in range(1, int(levels.max(initial=0)) + 1):
-            keys, levels = keys[levels >= at], levels[levels >= at]
+            keys, hashes, levels = keys[levels >= at], hashes[levels >= at], levels[levels >= at]
+            if at == 2:
+                hashes = np.minimum(hashes, upper)
             low, high = Filter.halves(keys, at)
-            for i in range(hashes):
-                bits[Filter.place(low, high, i, size * 8)] = True
+            for i in range(int(hashes.max(initial=0))):
+                held = hashes > i
+                bits[Filter.place(low[held], high[held], i, size * 8)] = True
         return np.packbits(bits).tobytes()
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
@@ -159,13 +212,22 @@ class Filter:
         size = self.segments.shape[1]
         flat, going, at = self.segments.reshape(-1), np.arange(len(keys)), 1
         base = (pair_bucket(keys, self.buckets) - self.first) * size
+        hashes = self.often.after(keys) if self.often else np.full(len(keys), self.hashes, np.uint8)
         while len(going):
             low, high = self.halves(keys[going], at)
-            for i in range(self.hashes):
-                p = self.place(low, high, i, size * 8)
-                there = (flat[base[going] + (p >> 3)] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1
-                going, low, high = going[there], low[there], high[there]
+            for i in range(int(hashes[going].max())):
+                asked = np.flatnonzero(hashes[going] > i)
+                p = self.place(low[asked], high[asked], i, size * 8)
+                there = (flat[base[going[asked]] + (p >> 3)] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1
+                if not there.all():
+                    stay = np.ones(len(going), bool)
+                    stay[asked[~there]] = False
+                    going, low, high = going[stay], low[stay], high[stay]
+                if not len(going):
+                    break
             out[going] = at
+            if at == 1:
+                hashes = np.minimum(hashes, self.upper)
             at += 1
         return out
 
@@ -174,7 +236,7 @@ class Filter:
 class Model:
     """`words`: exact counts and pair mass by bucket; `pairs`: exact pair counts by bucket, of
     which a filter segment of `segment_bytes` is made for each bucket, by `hashes` hashes that an
-    unseen pair passes at `rate`. Both are staged tables."""
+    unseen pair passes at `rate`, or by fewer after a word of `often`. Both are staged tables."""
 
     words: DataFrame
     pairs: DataFrame
@@ -184,13 +246,14 @@ class Model:
     buckets: int
     tokens: int
     distinct: int
+    often: Often
 
 
 def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
     """Counts words and pairs of all texts (`text`; null is empty).
 
     Counts are summed per chunk of text in tasks, then merged by bucket, so a frequent word
-    or pair is one entry per chunk. Only totals and one number per level come to the driver.
+    or pair is one entry per chunk. Only totals and the words of `Often` come to the driver.
     """
     s = settings
     docs = docs.select("text")
@@ -227,27 +290,45 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
         if kind:
             keep = counts >= s.least
             keys, counts = keys[keep], counts[keep]
-        levels = np.bincount(level(counts, s.least, s.base)) if kind and len(counts) else np.zeros(0, np.int64)
         return pa.table({
             "kind": pa.array([kind], pa.int32()), "bucket": pa.array([bucket], pa.int32()),
             "distinct": pa.array([distinct], pa.int64()), "total": pa.array([everything], pa.int64()),
-            "levels": pa.array([levels.tolist()], pa.list_(pa.int64())),
             "keys": pa.array([keys.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary())})
 
-    schema = ("kind int, bucket int, distinct long, total long, levels array<long>, keys binary, counts binary")
+    schema = ("kind int, bucket int, distinct long, total long, keys binary, counts binary")
     merged = stage(docs.mapInArrow(count, "kind int, bucket int, keys binary, counts binary")
                    .groupBy("kind", "bucket").applyInArrow(merge, schema), "ngrams")
     word_totals = merged.where("kind = 0").agg(F.sum("distinct"), F.sum("total")).first()
-    by_level = np.zeros(1, np.int64)
-    for r in (merged.where("kind = 1").select(F.posexplode("levels").alias("level", "x"))
-              .groupBy("level").agg(F.sum("x").alias("x")).collect()):
-        by_level = np.pad(by_level, (0, max(0, r["level"] + 1 - len(by_level))))
-        by_level[r["level"]] = r["x"]
-
-    # a pair of level l is inserted l times; buckets are alike, with a tenth to spare
-    inserted = sum(int(x) * at for at, x in enumerate(by_level))
-    hashes = hashes_for(int(word_totals[0] or 0), s)
-    size = int(max(64, hashes / np.log(2) * inserted / 8 / n * 1.1))
+    n_tokens, n_distinct = int(word_totals[1] or 0), int(word_totals[0] or 0)
+    seen_often = max(s.often, -(-n_tokens // s.most_often))
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, c in zip(_read(batch.column("keys"), "<u8"), _read(batch.column("counts"), "<i8")):
+                picked = c >= seen_often
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([(k[picked] >> np.uint64(32)).astype("<u4").tobytes()], pa.binary()),
+                     pa.array([c[picked].tobytes()], pa.binary())], ["halves", "counts"])
+
+    found = (merged.where("kind = 0").select("keys", "counts").mapInArrow(frequent, "halves binary, counts binary")
+             .where("octet_length(halves) > 0").collect())
+    halves = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(r["halves"], "<u4") for r in found)])
+    counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["counts"], "<i8") for r in found)])
+    closing = counts[halves == END >> np.uint64(32)][:1]  # as many texts begin as end
+    halves = np.concatenate([halves, np.full(len(closing), START >> np.uint64(32))]).astype(np.uint32)
+    often = Often.of(halves, np.concatenate([counts, closing]), n_distinct, s)
+    hashes = often.other
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How many bits the pairs of each bucket set."""
+        for batch in batches:
+            sums = [int((often.after(k) + (level(c, s.least, s.base) - 1) * s.upper_hashes).sum())
+                    for k, c in zip(_read(batch.column("keys"), "<u8"), _read(batch.column("counts"), "<i8"))]
+            yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int64())], ["bits"])
+
+    # buckets are alike, with a tenth to spare
+    inserted = merged.where("kind = 1").select("keys", "counts").mapInArrow(bits, "bits long").agg(F.sum("bits")).first()[0] or 0
+    size = int(max(64, inserted / np.log(2) / 8 / n * 1.1))
     rate = 0.5**hashes  # fewer than half of the bits are set
 
     def mass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,17 +349,17 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
     pair_counts = merged.where("kind = 1").select("bucket", "keys", "counts")
     kept = pair_counts.select("keys", "counts").mapInArrow(mass, "bucket int, kind int, keys binary, counts binary")
     words = stage(merged.where("kind = 0").select("bucket", "kind", "keys", "counts").unionByName(kept), "words")
-    return Model(words, pair_counts, size, hashes, rate, n, int(word_totals[1] or 0), int(word_totals[0] or 0))
+    return Model(words, pair_counts, size, hashes, rate, n, n_tokens, n_distinct, often)
 
 
 def filter_parts(model: Model, settings: Settings = Settings()) -> Iterator[Filter]:
     """The filter, in parts of at most `part_bytes` (or one segment): at any size, all pairs are in."""
-    s, size, hashes = settings, model.segment_bytes, model.hashes
+    s, size, hashes, often = settings, model.segment_bytes, model.hashes, model.often
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b, k, c in zip(batch.column("bucket").to_pylist(), _read(batch.column("keys"), "<u8"), _read(batch.column("counts"), "<i8")):
-                raw = Filter.segment(k, level(c, s.least, s.base), hashes, size)
+                raw = Filter.segment(k, level(c, s.least, s.base), often.after(k), size, s.upper_hashes)
                 yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([raw], pa.binary())], ["bucket", "bits"])
 
     step = max(1, s.part_bytes // size)
@@ -287,7 +368,7 @@ def filter_parts(model: Model, settings: Settings = Settings()) -> Iterator[Filt
         own = model.pairs.where(F.col("bucket").between(first, first + len(segments) - 1))
         for r in own.mapInArrow(build, "bucket int, bits binary").toLocalIterator():
             segments[r["bucket"] - first] = np.frombuffer(r["bits"], np.uint8)
-        yield Filter(segments, hashes, first, model.buckets)
+        yield Filter(segments, hashes, first, model.buckets, often, s.upper_hashes)
 
 
 def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:
@@ -309,7 +390,7 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
     total = docs.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     blocks = int(max(8, -(-total // s.block_bytes)))
     n, n_tokens, n_distinct = model.buckets, model.tokens, model.distinct
-    unseen = model.rate * n_distinct * (s.least - s.discount)  # expected gain of all unseen pairs after a word
+    gain_unseen = n_distinct * (s.least - s.discount)  # of all unseen pairs after a word, if they passed
     dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -372,10 +453,11 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
             asked_pairs = pairs(own_tokens, at)
             here = own.holds(asked_pairs)
             found = np.zeros(len(asked_pairs), np.int64)
-            found[here] = own.levels(asked_pairs[here])
+            found[here] = believed(own.levels(asked_pairs[here]), s.least, s.base)
             gain = np.where(found > 0, typical(np.maximum(found, 1), s.least, s.base) - s.discount, 0.0)
             whole = np.maximum(c_before, 1.0)
             kept = np.minimum(mass[before] / whole, 0.999)
+            unseen = gain_unseen * 0.5 ** own.often.after(asked_pairs).astype(float)
             rest = np.maximum(1 - kept - np.minimum(unseen / whole, kept), 1e-9)
             joint = np.where(c_before > 0, np.minimum(gain / whole, kept) + rest * single, single)
             results.append((doc_id, text_key, np.diff(at),
@@ -398,12 +480,14 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
     names = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     passes = []
     for part in filter_parts(model, s):
-        part_sent = spark.sparkContext.broadcast((part.segments, part.hashes, part.first, part.buckets))
+        part_sent = spark.sparkContext.broadcast(
+            (part.segments, part.hashes, part.first, part.buckets, part.often, part.upper))
         judged = keyed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(judge, schema)
         if len(part.segments) == n:
             return judged.select(*names)
         passes.append(stage(judged, "scores").withColumn("pass", F.lit(len(passes))))
-        part_sent.unpersist()
+        part_sent.destroy()  # with the driver's copy
+        del part
     # repeated rows give equal results: their number is that of any one pass
     sums = passes[0]
     for more in passes[1:]:

@@ -207,6 +207,40 @@ def test_lm_scores_are_those_of_exact_pair_counts(spark):
     assert lm.hashes_for(1_000_000_000, s) > lm.hashes_for(1_000_000, s) > 20
 
 
+def test_lm_frequent_words_and_many_parts(spark):
+    """Words of very different counts: fewer hashes after frequent ones, several parts, scores of exact counts."""
+    pick = random.Random(21)
+    vocab = [f"z{i}" for i in range(4000)]
+    weights = [1 / (i + 1) for i in range(4000)]
+    texts = [" ".join(pick.choices(vocab, weights, k=120)) for _ in range(300)]
+    docs, s = docs_of(spark, texts), lm.Settings(part_bytes=20_000)
+    model = lm.train(docs.where("doc_id % 3 != 0"))
+    assert len(list(lm.filter_parts(model, s))) > 2 and len(model.often.halves) > 20
+    assert model.often.hashes.min() < model.hashes - 5
+    got = {r["doc_id"]: r["score"] for r in lm.score(docs, model, s).collect()}
+    single, both, mass = collections.Counter(), collections.Counter(), collections.Counter()
+    for i, t in enumerate(texts):
+        if i % 3:
+            words = [*t.split(), "<end>"]
+            single.update(words)
+            both.update(zip(["<start>", *words], words))
+    single["<start>"] = single["<end>"]
+    gain = {k: float(lm.typical(lm.level(np.array([c]), 1, s.base), 1, s.base)[0]) - s.discount for k, c in both.items()}
+    for (before, _), g in gain.items():
+        mass[before] += g
+    n, v, off, total = model.tokens, model.distinct, 0.0, 0
+    for i, t in enumerate(texts):
+        words, want = [*t.split(), "<end>"], 0.0
+        for before, word in zip(["<start>", *words], words):
+            p, c = (single[word] + 1) / (n + v + 1), single[before]
+            kept = min(mass[before] / c, 0.999) if c else 0.0
+            want += math.log10(min(gain.get((before, word), 0.0) / c, kept) + (1 - kept) * p if c else p)
+        if i % 3 == 0:
+            off, total = off + got[i] - want, total + len(words)
+        assert got[i] == pytest.approx(want, abs=0.03 * len(words))
+    assert abs(off / total) < 0.01
+
+
 def test_bloom_levels_never_fall_short():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 2**63, 4000, dtype=np.uint64)
