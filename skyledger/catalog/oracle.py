@@ -252,6 +252,7 @@ SELECT row_number() OVER (ORDER BY total DESC, airport) - 1 AS index, total FROM
         "stream_trip_origins": f"WITH {_legs()}\nSELECT {_STORED_LEG} FROM legs WHERE leg = 'am'",
         "stream_trip_destinations": f"WITH {_legs()}\nSELECT {_STORED_LEG} FROM legs WHERE leg = 'pm'",
         "stream_legs_at": legs_at,
+        "stream_trips_restarted": _TRIPS_SQL,
         "stream_trips_windowed": _WINDOWED_SQL,
         "stream_trips_joined": _WINDOWED_SQL,
         "stream_record_count": f"WITH {_CLEAN}\nSELECT count(*) AS n FROM clean",

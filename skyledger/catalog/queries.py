@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from skyledger import schemas
@@ -330,7 +331,37 @@ def _incremental(spark: SparkSession, sf_dir: str) -> trip_streams.TripTables:
 
 
 def stream_trips_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _incremental(spark, sf_dir).trips.latest(spark).drop("batch_id")
+    return _incremental(spark, sf_dir).trips(spark)
+
+
+def stream_trips_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same stream stopped within a batch, between its two writes, and started again."""
+    topic, work = _published(spark, sf_dir)
+    tables = trip_streams.TripTables(f"{work}/tables")
+    write = tables.tables.write
+
+    def broken(rows: DataFrame, table: str, batch_id: int) -> str:
+        if (table, batch_id) == ("trips", 1):
+            raise RuntimeError("stopped on purpose")
+        return write(rows, table, batch_id)
+
+    def run() -> None:
+        trip_streams.incremental_trips(
+            topic, tables, f"{work}/cp", year=TRIP_YEAR, seconds=None, session=spark).awaitTermination()
+
+    tables.tables.write = broken
+    try:
+        run()
+    except StreamingQueryException as error:
+        if "stopped on purpose" not in str(error):
+            raise
+    else:
+        raise RuntimeError("the stream was not stopped")
+    if (seen := tables.tables.open(spark).batch) != 0:
+        raise RuntimeError(f"readers see batch {seen} of a stream stopped in batch 1")
+    tables.tables.write = write
+    run()
+    return tables.trips(spark)
 
 
 def stream_trip_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,7 +382,7 @@ def legs_at_millis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored morning legs into an airport on a date given in epoch milliseconds."""
     tables = trip_streams.TripTables(new_path(spark, "tables"))
     legs = leg_ops.best_legs(leg_ops.timed_legs(_flights(spark, sf_dir, TRIP_YEAR)))
-    tables.legs.upsert(legs, 0)
+    tables.store_legs(spark, legs, 0)
     return tables.legs_at_millis(spark, LOOKUP["connection"], LOOKUP_MILLIS)
 
 
@@ -443,6 +474,7 @@ def queries() -> dict[str, Query]:
         "stream_top_destinations": stream_top_destinations,
         "stream_top_destinations_wide": stream_top_destinations_wide,
         "stream_trips_incremental": stream_trips_incremental,
+        "stream_trips_restarted": stream_trips_restarted,
         "stream_trip_origins": stream_trip_origins,
         "stream_trip_destinations": stream_trip_destinations,
         "stream_legs_at": stream_legs_at,

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from skyledger.session import stage
+
 # Rows one generated array may hold when a run of equal totals is written out.
 RUN_BLOCK = 1024
+# Distinct totals one task numbers.
+RANGE_TOTALS = 500_000
 
 
 def first_per_group(rows: DataFrame, group: str, order: list, n: int) -> DataFrame:
@@ -18,25 +22,33 @@ def first_per_group(rows: DataFrame, group: str, order: list, n: int) -> DataFra
     return rows.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= n)
 
 
-def number_by_total(totals: DataFrame) -> DataFrame:
+def number_by_total(totals: DataFrame, range_totals: int = RANGE_TOTALS) -> DataFrame:
     """Rows (`position`, `rank`, `total`), largest total first.
 
     `position` counts 0, 1, 2, ... without gaps; `rank` starts at 1 and equal
     totals share it, leaving gaps. One row per input row; null totals are dropped.
 
-    No single task sees all rows: they are first reduced to one row per distinct
-    total. Distinct totals of non-negative counts adding up to N number below
-    2*sqrt(N), so the running sum works on a few million small rows even for 10^12
-    records. Equal rows are then written out again in blocks of bounded size, spread
-    over tasks before they grow.
+    No task sees all rows, nor all totals: rows are first reduced to one per distinct total,
+    and these are laid out in ranges of about `range_totals`. A range adds up its own; one
+    number per range, the rows before it, makes that global. Equal rows are then
+    written out again in blocks of bounded size, spread over tasks before they grow, so a
+    total that most rows share is no hot spot.
     """
-    runs = (
-        totals.where(F.col("total").isNotNull())
-        .groupBy("total")
-        .agg(F.count(F.lit(1)).alias("run"))
-    )
-    before = Window.orderBy(F.col("total").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    starts = runs.withColumn("start", F.coalesce(F.sum("run").over(before), F.lit(0)))
+    runs = stage(
+        totals.where(F.col("total").isNotNull()).groupBy("total").agg(F.count(F.lit(1)).alias("run")), "totals")
+    ranges = max(1, -(-runs.count() // range_totals))
+    # written, so that every reader sees the same ranges
+    ranged = stage(
+        runs.repartitionByRange(ranges, F.col("total").desc()).withColumn("range", F.spark_partition_id()), "ranges")
+    ahead, sizes = {}, ranged.groupBy("range").agg(F.sum("run").alias("n"))
+    before = 0
+    for row in sizes.orderBy("range").toLocalIterator():  # a row per range
+        ahead[row["range"]], before = before, before + row["n"]
+    spark = totals.sparkSession
+    offsets = spark.createDataFrame(list(ahead.items()), "range int, ahead bigint")
+    inside = Window.partitionBy("range").orderBy(F.col("total").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.withColumn("inside", F.coalesce(F.sum("run").over(inside), F.lit(0))).join(offsets, "range").select(
+        "total", "run", (F.col("ahead") + F.col("inside")).alias("start"))
     blocks = starts.withColumn(
         "block", F.explode(F.expr(f"sequence(0L, (run - 1) div {RUN_BLOCK})"))
     ).repartition("start", "block")

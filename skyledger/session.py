@@ -45,10 +45,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system a path lies in, and the path as that takes it."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
 def folder_size(spark: SparkSession, path: str) -> tuple[int, int]:
     """Number of files below a folder and their bytes, without listing them here."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    summary = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder)
+    files, folder = hadoop_path(spark, path)
+    summary = files.getContentSummary(folder)
     return summary.getFileCount(), summary.getLength()
 
 

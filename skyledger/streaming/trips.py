@@ -10,7 +10,8 @@ from skyledger.operators.legs import (
     STAY_DAYS, best_legs, least_delayed, only_leg, pair_legs, timed_legs,
 )
 from skyledger.schemas import LEG_KEY, LEGS, TRIP_KEY, TRIPS
-from skyledger.sinks.keyed import FOLD_EVERY, KeyedTable
+from skyledger.sinks.keyed import FOLD_EVERY
+from skyledger.sinks.snapshots import Snapshots, Table, Version
 from skyledger.sources.records import flights_from_lines
 from skyledger.streaming.runs import BATCH_SECONDS, WINDOWED_BATCH_SECONDS, each_batch, start
 
@@ -27,38 +28,53 @@ def _equal(left: DataFrame, right: DataFrame, columns: list[str]) -> list[Column
 class TripTables:
     """The stored legs of both half-days and the trips they combine to.
 
-    Rows are ordered by the batch ids of one stream, so the tables belong to that
-    stream's checkpoint: a fresh checkpoint needs a fresh path.
+    Both are published together: a reader sees the legs and the trips of the same batch,
+    whatever is being written. Rows are ordered by the batch ids of one stream, so the
+    tables belong to that stream's checkpoint: a fresh checkpoint needs a fresh path.
     """
 
     def __init__(self, path: str):
         self.arrived, self.near = f"{path}/arrived", f"{path}/near"
-        self.legs = KeyedTable(f"{path}/legs", LEGS, LEG_KEY, sort_by="date")
-        self.trips = KeyedTable(f"{path}/trips", TRIPS, TRIP_KEY, sort_by="origin_date")
+        self.tables = Snapshots(path, {
+            "legs": Table(LEGS, tuple(LEG_KEY), sort_by="date"),
+            "trips": Table(TRIPS, tuple(TRIP_KEY), sort_by="origin_date"),
+        })
+
+    def trips(self, spark: SparkSession, version: Version | None = None) -> DataFrame:
+        """All trips, of the newest version if none is given."""
+        return self.tables.latest(spark, "trips", version).drop("batch_id")
+
+    def legs(self, spark: SparkSession, version: Version | None = None, where: Column | None = None) -> DataFrame:
+        return self.tables.latest(spark, "legs", version, where).drop("batch_id")
 
     def origins(self, spark: SparkSession) -> DataFrame:
         """Best morning legs, keyed by (destination, date, origin)."""
-        return self.legs.latest(spark, where=F.col("leg") == "am").drop("leg", "batch_id")
+        return self.legs(spark, where=F.col("leg") == "am").drop("leg")
 
     def destinations(self, spark: SparkSession) -> DataFrame:
         """Best afternoon legs, keyed by (origin, date, destination)."""
-        return self.legs.latest(spark, where=F.col("leg") == "pm").drop("leg", "batch_id")
+        return self.legs(spark, where=F.col("leg") == "pm").drop("leg")
 
     def legs_at(self, spark: SparkSession, destination: str, date) -> DataFrame:
         """Morning legs reaching an airport on a date."""
-        found = self.legs.lookup(spark, leg="am", destination=destination, date=date)
-        return found.drop("leg")
+        wanted = (F.col("leg") == "am") & (F.col("destination") == F.lit(destination)) & (F.col("date") == F.lit(date))
+        return self.legs(spark, where=wanted).drop("leg")
 
     def legs_at_millis(self, spark: SparkSession, destination: str, millis: int) -> DataFrame:
         """The same for a date given as epoch milliseconds."""
         return self.legs_at(spark, destination, clock.from_epoch_millis(F.lit(millis)).cast("date"))
 
+    def store_legs(self, spark: SparkSession, legs: DataFrame, batch_id: int) -> None:
+        """Store legs alone, as one batch."""
+        self.tables.publish(spark, batch_id, {"legs": self.tables.write(legs, "legs", batch_id)})
+
     def store_batch(self, spark: SparkSession, legs: DataFrame, batch_id: int) -> None:
         """Store the legs a batch brought, and every trip they renew.
 
         Changed morning legs meet all afternoon legs and the other way round, so a leg
         counts whichever half arrives first, and a leg that improved renews every trip
-        it is part of. Only stored legs around the dates of the batch are read.
+        it is part of. Only stored legs around the dates of the batch are read, as they were
+        before the batch, also when the batch is replayed.
         """
         legs.write.mode("overwrite").parquet(self.arrived)
         arrived = spark.read.schema(LEGS).parquet(self.arrived)
@@ -71,29 +87,28 @@ class TripTables:
             first, last = F.lit(span["first"]), F.lit(span["last"])
             return F.col("date").between(F.date_add(first, shift), F.date_add(last, shift))
 
-        # The stored legs are read once: those before this batch, kept for three uses.
-        near = self.legs.latest(
-            spark, upto=batch_id - 1, where=around(-STAY_DAYS) | around(0) | around(STAY_DAYS)
-        )
-        near.drop("batch_id").write.mode("overwrite").parquet(self.near)
+        # The stored legs are read once and kept for three uses.
+        earlier_state = self.tables.open(spark, before=batch_id)
+        near = self.legs(spark, earlier_state, around(-STAY_DAYS) | around(0) | around(STAY_DAYS))
+        near.write.mode("overwrite").parquet(self.near)
         before = spark.read.schema(LEGS).parquet(self.near)
 
         # A group that got records but kept its best leg renews nothing.
         changed = arrived.join(before, _equal(arrived, before, LEGS.fieldNames()), "left_anti")
-        self.legs.upsert(changed, batch_id)
+        written = {"legs": self.tables.write(changed, "legs", batch_id)}
 
-        changed = self.legs.changes(spark, batch_id)
+        changed = self.tables.read(spark, written["legs"], "legs")
         earlier = before.join(changed, _equal(before, changed, LEG_KEY), "left_anti")
         changed_am, changed_pm = only_leg(changed, "am"), only_leg(changed, "pm")
         onward = pair_legs(changed_am, only_leg(earlier, "pm").unionByName(changed_pm))
         # Morning legs of this batch are already paired above.
         renewed = onward.unionByName(pair_legs(only_leg(earlier, "am"), changed_pm))
-        self.trips.upsert(renewed, batch_id)
+        written["trips"] = self.tables.write(renewed, "trips", batch_id)
+        self.tables.publish(spark, batch_id, written)
 
     def fold(self, spark: SparkSession, batch_id: int, every: int) -> None:
         """Fold the stored legs, which every batch reads, and the trips."""
-        self.legs.fold(spark, batch_id, every)
-        self.trips.fold(spark, batch_id, every)
+        self.tables.fold(spark, batch_id, every)
 
 
 def incremental_trips(

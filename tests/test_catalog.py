@@ -17,7 +17,7 @@ from skyledger.catalog import oracle, queries
 SF_DIR = "/root/testdata/sf0.001"
 # The other streams are checked in test_streams, and all of them by check.py.
 NAMES = [n for n in queries.queries() if not n.startswith("stream_")] + [
-    "stream_trips_incremental", "stream_trips_windowed", "stream_trips_joined", "stream_top_carriers_wide",
+    "stream_trips_incremental", "stream_trips_windowed", "stream_trips_joined", "stream_trips_restarted", "stream_top_carriers_wide",
 ]
 
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not here")
