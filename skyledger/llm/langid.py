@@ -1,9 +1,10 @@
 """Language by compression: the language whose sample text helps zstandard most.
 
 Each language has a raw-content dictionary, plain text of its training documents. A text
-is reduced to lower-case letters and cut into pieces that are compressed once with every
+is reduced to lower-case letters and cut into stretches that are compressed once with every
 dictionary; the language with the smallest sum of sizes wins, and the margin to the next
-says how sure that is.
+says how sure that is. A narrow margin rejects a text, and so does a share of stretches that
+are clearly in another language.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import dataclasses
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 import zstandard
@@ -31,16 +33,22 @@ def letters(text: str) -> bytes:
 class Settings:
     """`sample_rows` documents of `least_bytes` to `most_bytes` per language, in the order of a
     hash of their text, fill a dictionary of at most `dictionary_bytes`; scoring reads whole
-    texts in pieces of `piece_bytes`. A margin below `narrow` (share of the size saved against
-    the next best language) rejects a document."""
+    texts in stretches of about `stretch_bytes`. A margin (share of the size saved against the
+    next best language) below `narrow` rejects a document; one shorter than `short_bytes` saves
+    little in any language and has to pass `narrow_short` only. So does a share of `mixed` or
+    more of stretches that another language wins by a margin of `sure`."""
 
     sample_rows: int = 100
     least_bytes: int = 200
     most_bytes: int = 6_000
     dictionary_bytes: int = 96_000
-    piece_bytes: int = 4_096
+    stretch_bytes: int = 512
     lead_bytes: int = 256
-    narrow: float = 0.002
+    narrow: float = 0.02
+    narrow_short: float = 0.002
+    short_bytes: int = 100
+    sure: float = 0.02
+    mixed: float = 0.2
 
 
 def fit(labelled: DataFrame, settings: Settings = Settings()) -> dict[str, bytes]:
@@ -61,6 +69,7 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> dict[str, bytes
             own.append(text)
     # languages whose documents are all short or long still count
     rest = rows.where(~F.col("lang").isin(list(parts))).where(size > 0) if parts else rows.where(size > 0)
+    rest = rest.withColumn("text", F.substring("text", 1, s.dictionary_bytes))
     for r in rest.withColumn("place", F.row_number().over(order)).where("place <= 5").orderBy("lang", "place").collect():
         parts.setdefault(r["lang"], []).append(letters(r["text"])[: s.dictionary_bytes])
     return {lang: b"\n".join(x) for lang, x in parts.items()}
@@ -87,13 +96,21 @@ class Judge:
     def __call__(self, text: str | None) -> tuple[str, float, bool]:
         if not self.names or text is None or not LETTER.search(text):
             return UNKNOWN, 0.0, True
-        raw, step = letters(text), self.s.piece_bytes
-        pieces = [raw[i : i + step] for i in range(0, len(raw), step)]
-        sizes = [sum([len(c.compress(lead + x)) for x in pieces]) for c, lead in zip(self.coders, self.leads)]
-        best, *others = sorted(sizes)
-        margin = (others[0] - best) / others[0] if others else 1.0
-        score = 1.0 / sum(2.0 ** (max(best - x, -60) / 4) for x in sizes)
-        return self.names[sizes.index(best)], score, margin < self.s.narrow
+        raw, s = letters(text), self.s
+        width = -(-len(raw) // -(-len(raw) // s.stretch_bytes))
+        sizes = np.array([[len(c.compress(lead + raw[i : i + width])) for c, lead in zip(self.coders, self.leads)]
+                          for i in range(0, len(raw), width)])
+        total = sizes.sum(0)
+        if len(total) == 1:
+            return self.names[0], 1.0, False
+        best, winner = int(total.min()), int(total.argmin())
+        runner_up = int(np.partition(total, 1)[1])
+        score = 1.0 / sum(2.0 ** (max(best - int(x), -60) / 4) for x in total)
+        margin = (runner_up - best) / runner_up
+        narrow = margin < (s.narrow if len(raw) >= s.short_bytes else s.narrow_short)
+        first, second = np.partition(sizes, 1, axis=1)[:, :2].T
+        others = (sizes.argmin(1) != winner) & ((second - first) >= s.sure * second)
+        return self.names[winner], score, bool(narrow or others.mean() >= s.mixed)
 
 
 def classify(docs: DataFrame, dictionaries: dict[str, bytes], settings: Settings = Settings()) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import zstandard
 from tokenizers import Tokenizer
 
 from skyledger.llm import decontam, langid, lm, packing, sharding, toxicity
@@ -81,6 +82,42 @@ def test_language(spark):
     assert {r["lang_pred"] for r in langid.classify(docs, {}).collect()} == {"und"}
 
 
+def test_language_rejects_what_is_in_none_or_in_two(spark):
+    pick = random.Random(14)
+    words = {"xx": ["tion", "ment", "oux", "ette"], "yy": ["schaft", "keit", "ung", "heit"], "zz": ["ando", "cion", "mente", "ez"]}
+    said = lambda lang, n: " ".join("".join(pick.choices(words[lang], k=2)) for _ in range(n))
+    docs = spark.createDataFrame([(i, said(lang, 60), lang) for i, lang in enumerate(["xx", "yy", "zz"] * 60)],
+                                 "doc_id long, text string, lang string")
+    learned = langid.fit(docs)
+    one = [said(lang, n) for lang in words for n in (8, 12, 60, 800)]
+    two = [said("xx", n) + " " + said("yy", n) for n in (150, 400, 1500)] + [said("zz", 900) + said("xx", 400)]
+    none = [" ".join("".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=pick.randrange(2, 9))) for _ in range(200)) for _ in range(10)]
+    got = [r["rejected"] for r in langid.classify(docs_of(spark, one + two + none), learned).orderBy("doc_id").collect()]
+    assert got == [False] * len(one) + [True] * (len(two) + len(none))
+    assert langid.keep_clear(docs_of(spark, one + two + none), learned).count() == len(one)
+
+
+def test_language_is_that_of_the_smallest_compressed_size(spark):
+    """Against zstandard used plainly, a stretch at a time."""
+    pick = random.Random(15)
+    words = {"xx": ["tion", "ment", "oux"], "yy": ["tion", "keit", "ung"]}
+    rows = [(i, " ".join("".join(pick.choices(words[lang], k=2)) for _ in range(pick.randrange(1, 400))), lang)
+            for i, lang in enumerate(["xx", "yy"] * 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned, s = langid.fit(docs), langid.Settings()
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.classify(docs, learned).collect()}
+    params = zstandard.ZstdCompressionParameters.from_level(1, strategy=zstandard.STRATEGY_LAZY2, min_match=3, write_content_size=0)
+    for i, text, _ in rows:
+        raw, sums = langid.letters(text), {}
+        n = -(-len(raw) // s.stretch_bytes)
+        width = -(-len(raw) // n)
+        for lang, own in learned.items():
+            plain = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(own, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+                                             compression_params=params)
+            sums[lang] = sum(len(plain.compress(own[-s.lead_bytes :] + b" " + raw[j * width : (j + 1) * width])) for j in range(n))
+        assert got[i] == min(sorted(sums), key=sums.get)
+
+
 # --- packing
 
 def test_word_cache_gives_the_tokenizers_ids():
