@@ -44,11 +44,11 @@ class Settings:
     dictionary_bytes: int = 96_000
     stretch_bytes: int = 512
     lead_bytes: int = 256
-    narrow: float = 0.02
+    narrow: float = 0.015
     narrow_short: float = 0.002
     short_bytes: int = 100
     sure: float = 0.02
-    mixed: float = 0.2
+    mixed: float = 0.34
 
 
 def fit(labelled: DataFrame, settings: Settings = Settings()) -> dict[str, bytes]:

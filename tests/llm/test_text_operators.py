@@ -90,7 +90,7 @@ def test_language_rejects_what_is_in_none_or_in_two(spark):
                                  "doc_id long, text string, lang string")
     learned = langid.fit(docs)
     one = [said(lang, n) for lang in words for n in (8, 12, 60, 800)]
-    two = [said("xx", n) + " " + said("yy", n) for n in (150, 400, 1500)] + [said("zz", 900) + said("xx", 400)]
+    two = [said("xx", n) + " " + said("yy", n) for n in (150, 400, 1500)] + [said("zz", 900) + " " + said("xx", 800)]
     none = [" ".join("".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=pick.randrange(2, 9))) for _ in range(200)) for _ in range(10)]
     got = [r["rejected"] for r in langid.classify(docs_of(spark, one + two + none), learned).orderBy("doc_id").collect()]
     assert got == [False] * len(one) + [True] * (len(two) + len(none))
