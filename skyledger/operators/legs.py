@@ -59,18 +59,30 @@ def best_legs(legs: DataFrame) -> DataFrame:
     )
 
 
-def pair_legs(am: DataFrame, pm: DataFrame, also_on: list[str] | None = None) -> DataFrame:
+def with_meeting(legs: DataFrame) -> DataFrame:
+    """Legs with the airport (`hub`) and the date (`meet`) at which they meet others for a trip."""
+    am = F.col("leg") == "am"
+    return legs.withColumns({
+        "hub": F.when(am, F.col("destination")).otherwise(F.col("origin")),
+        "meet": F.when(am, F.date_add(F.col("date"), STAY_DAYS)).otherwise(F.col("date")),
+    })
+
+
+def pair_legs(am: DataFrame, pm: DataFrame, also_on: list[str] | None = None, meeting: bool = False) -> DataFrame:
     """Trips X -> Y -> Z: `am` reaches Y, `pm` leaves Y `STAY_DAYS` days later.
 
     The day gap is part of the equi key, so both sides shuffle on (airport, date)
     and a hub airport spreads over its dates. No broadcast is forced: the legs grow
-    with the data and Spark checks their size itself.
+    with the data and Spark checks their size itself. `meeting` joins on the columns of
+    `with_meeting`, which stored legs are laid out by.
     """
     extra = also_on or []
     a, p = am.alias("a"), pm.alias("p")
     condition = (F.col("a.destination") == F.col("p.origin")) & (
         F.date_add(F.col("a.date"), STAY_DAYS) == F.col("p.date")
     )
+    if meeting:
+        condition = (F.col("a.hub") == F.col("p.hub")) & (F.col("a.meet") == F.col("p.meet"))
     for column in extra:
         condition = condition & (F.col(f"a.{column}") == F.col(f"p.{column}"))
     return a.join(p, condition).select(

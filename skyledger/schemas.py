@@ -93,6 +93,10 @@ LEGS = T.StructType(
 )
 LEG_KEY = ["leg", "date", "origin", "destination"]
 
+# Stored legs lie by the airport and the date at which they meet others for a trip.
+MEETING = ["hub", "meet"]
+STORED_LEGS = T.StructType([*LEGS.fields, T.StructField("hub", T.StringType()), T.StructField("meet", T.DateType())])
+
 TRIPS = T.StructType(
     [
         T.StructField("origin_date", T.DateType()),

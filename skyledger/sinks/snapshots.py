@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from skyledger.schemas import extended
 from skyledger.session import hadoop_path
+from skyledger.sinks.buckets import BucketedFolders
 
 # Versions that stay readable.
 KEEP = 20
@@ -29,11 +30,19 @@ NUMBER = "{:020d}.json"
 
 @dataclasses.dataclass(frozen=True)
 class Table:
-    """What a table's rows look like, and which columns are its key."""
+    """What a table's rows look like, and which columns are its key.
+
+    With `bucket_by`, some of the key, rows are stored in buckets: finding the newest row of a
+    key, and joins on these columns, then need no shuffle of what is stored. With `adds`, rows of
+    a key do not follow one another but add up in these columns, which are all but the key.
+    """
 
     schema: T.StructType
     keys: tuple[str, ...]
     sort_by: str | None = None
+    bucket_by: tuple[str, ...] = ()
+    buckets: int | None = None
+    adds: tuple[str, ...] = ()
 
     @property
     def stored(self) -> T.StructType:
@@ -83,8 +92,11 @@ class Snapshots:
                 return version
         return Version(0, -1, {})
 
-    def latest(self, spark: SparkSession, table: str, version: Version | None = None, where: Column | None = None) -> DataFrame:
-        """The newest row per key of a version (the newest, if not given), with its `batch_id`.
+    def latest(
+        self, spark: SparkSession, table: str, version: Version | None = None, where: Column | None = None,
+        by_bucket: bool = False,
+    ) -> DataFrame:
+        """The newest row per key of a version (the newest, if not given), or the sum, with its `batch_id`.
 
         `where` may use key columns only; it is applied before the newest row is chosen, so
         it reaches the Parquet scan. A table that is one base alone is read as it is.
@@ -93,18 +105,36 @@ class Snapshots:
         names = version.name(table)
         if not names:
             return spark.createDataFrame([], own.stored)
-        stored = spark.read.schema(own.stored).parquet(*[f"{self.path}/{name}" for name in names])
+        stored = self.rows(spark, table, names, by_bucket)
         if where is not None:
             stored = stored.where(where)
         if len(names) == 1:
             return stored
+        if own.adds:
+            added = stored.groupBy(*own.keys).agg(*[F.sum(c).alias(c) for c in own.adds], F.max("batch_id").alias("batch_id"))
+            return added.select(*own.stored.fieldNames())
         values = [c for c in own.schema.fieldNames() if c not in own.keys]
         newest = stored.groupBy(*own.keys).agg(F.max(F.struct("batch_id", *values)).alias("newest"))
         return newest.select(*own.keys, "newest.*").select(*own.stored.fieldNames())
 
+    def rows(self, spark: SparkSession, table: str, names: list[str], by_bucket: bool = False) -> DataFrame:
+        """All rows of folders, with the batches they came with.
+
+        `by_bucket` reads a bucketed table through the catalog, as its writer does.
+        """
+        own = self.tables[table]
+        if not own.bucket_by:
+            return spark.read.schema(own.stored).parquet(*[f"{self.path}/{name}" for name in names])
+        buckets, below = self._buckets(table), [n.removeprefix(f"{table}/") for n in names]
+        return buckets.read(spark, below) if by_bucket else buckets.read_files(spark, below)
+
     def read(self, spark: SparkSession, folder: str, table: str) -> DataFrame:
         """The rows of one folder that `write` made."""
-        return spark.read.schema(self.tables[table].schema).parquet(f"{self.path}/{folder}")
+        return self.rows(spark, table, [folder]).drop("batch_id")
+
+    def _buckets(self, table: str) -> BucketedFolders:
+        own = self.tables[table]
+        return BucketedFolders(f"{self.path}/{table}", own.stored, own.bucket_by, own.sort_by, own.buckets)
 
     # --- writing
 
@@ -115,9 +145,11 @@ class Snapshots:
         return self._stored(rows, table, "changes", batch_id)
 
     def _stored(self, rows: DataFrame, table: str, kind: str, batch_id: int) -> str:
-        sort_by = self.tables[table].sort_by
-        if sort_by:
-            rows = rows.sortWithinPartitions(sort_by)
+        own = self.tables[table]
+        if own.bucket_by:
+            return f"{table}/{self._buckets(table).write(rows, f'{kind}-{batch_id}-{uuid.uuid4().hex}')}"
+        if own.sort_by:
+            rows = rows.sortWithinPartitions(own.sort_by)
         name = f"{table}/{kind}/{batch_id}-{uuid.uuid4().hex}"
         rows.write.mode("error").parquet(f"{self.path}/{name}")
         return name
@@ -150,8 +182,8 @@ class Snapshots:
         for table in self.tables:
             folders[table] = now.name(table)
             if len(folders[table]) > 1:
-                rows = self.latest(spark, table, now)
-                if self.tables[table].sort_by:
+                rows = self.latest(spark, table, now, by_bucket=True)
+                if self.tables[table].sort_by and not self.tables[table].bucket_by:
                     rows = rows.hint("rebalance", self.tables[table].sort_by)
                 folders[table] = [self._stored(rows, table, "base", now.batch)]
         if folders != now.folders:
@@ -175,7 +207,12 @@ class Snapshots:
             files, path = hadoop_path(spark, f"{self.path}/manifests/{NUMBER.format(number)}")
             files.delete(path, False)
         named = {name for v in kept for names in v.folders.values() for name in names}
-        for table in self.tables:
+        for table, own in self.tables.items():
+            if own.bucket_by:
+                old = [n for n in self._buckets(table).folders(spark)
+                       if f"{table}/{n}" not in named and int(n.split("-")[-2]) < kept[-1].batch]
+                self._buckets(table).remove(spark, old)
+                continue
             for kind in ("changes", "base"):
                 files, root = hadoop_path(spark, f"{self.path}/{table}/{kind}")
                 if not files.exists(root):

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import datetime
+import functools
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from skyledger.functions import clock
 from skyledger.operators.legs import (
-    STAY_DAYS, best_legs, least_delayed, only_leg, pair_legs, timed_legs,
+    best_legs, least_delayed, only_leg, pair_legs, timed_legs, with_meeting,
 )
-from skyledger.schemas import LEG_KEY, LEGS, TRIP_KEY, TRIPS
-from skyledger.sinks.keyed import FOLD_EVERY
+from skyledger.schemas import LEG_KEY, LEGS, MEETING, STORED_LEGS, TRIP_KEY, TRIPS
+from skyledger.sinks.buckets import BucketedFolders
 from skyledger.sinks.snapshots import Snapshots, Table, Version
 from skyledger.sources.records import flights_from_lines
 from skyledger.streaming.runs import BATCH_SECONDS, WINDOWED_BATCH_SECONDS, each_batch, start
@@ -20,9 +24,8 @@ WINDOW_SECONDS = 12
 SLIDE_SECONDS = 6
 
 
-def _equal(left: DataFrame, right: DataFrame, columns: list[str]) -> list[Column]:
-    """Join condition: equal in all columns, a null being equal to a null."""
-    return [left[c].eqNullSafe(right[c]) for c in columns]
+# Batches between two folds: a batch reads the changes since the last one.
+FOLD_LEGS_EVERY = 25
 
 
 class TripTables:
@@ -31,12 +34,17 @@ class TripTables:
     Both are published together: a reader sees the legs and the trips of the same batch,
     whatever is being written. Rows are ordered by the batch ids of one stream, so the
     tables belong to that stream's checkpoint: a fresh checkpoint needs a fresh path.
+
+    Legs are stored in buckets by where and when they meet others, so a batch finds the newest
+    legs and pairs them without moving what is stored. `buckets` is best kept at or above the
+    session's shuffle partitions, which it is by default.
     """
 
-    def __init__(self, path: str):
-        self.arrived, self.near = f"{path}/arrived", f"{path}/near"
+    def __init__(self, path: str, buckets: int | None = None):
+        near = T.StructType([*STORED_LEGS.fields, T.StructField("fresh", T.BooleanType())])
+        self.near = BucketedFolders(f"{path}/near", near, tuple(MEETING), buckets=buckets)
         self.tables = Snapshots(path, {
-            "legs": Table(LEGS, tuple(LEG_KEY), sort_by="date"),
+            "legs": Table(STORED_LEGS, (*LEG_KEY, *MEETING), "meet", tuple(MEETING), buckets),
             "trips": Table(TRIPS, tuple(TRIP_KEY), sort_by="origin_date"),
         })
 
@@ -45,7 +53,7 @@ class TripTables:
         return self.tables.latest(spark, "trips", version).drop("batch_id")
 
     def legs(self, spark: SparkSession, version: Version | None = None, where: Column | None = None) -> DataFrame:
-        return self.tables.latest(spark, "legs", version, where).drop("batch_id")
+        return self.tables.latest(spark, "legs", version, where).drop("batch_id", *MEETING)
 
     def origins(self, spark: SparkSession) -> DataFrame:
         """Best morning legs, keyed by (destination, date, origin)."""
@@ -66,46 +74,60 @@ class TripTables:
 
     def store_legs(self, spark: SparkSession, legs: DataFrame, batch_id: int) -> None:
         """Store legs alone, as one batch."""
-        self.tables.publish(spark, batch_id, {"legs": self.tables.write(legs, "legs", batch_id)})
+        self.tables.publish(spark, batch_id, {"legs": self.tables.write(with_meeting(legs), "legs", batch_id)})
 
     def store_batch(self, spark: SparkSession, legs: DataFrame, batch_id: int) -> None:
         """Store the legs a batch brought, and every trip they renew.
 
         Changed morning legs meet all afternoon legs and the other way round, so a leg
         counts whichever half arrives first, and a leg that improved renews every trip
-        it is part of. Only stored legs around the dates of the batch are read, as they were
-        before the batch, also when the batch is replayed.
+        it is part of. Only stored legs that meet on dates of the batch's legs are read, as
+        they were before the batch, also when the batch is replayed.
+
+        The batch's legs are shuffled once, into the buckets of the stored ones. A group that
+        got records but kept its best leg renews nothing.
         """
-        legs.write.mode("overwrite").parquet(self.arrived)
-        arrived = spark.read.schema(LEGS).parquet(self.arrived)
+        arrived = self.tables.write(with_meeting(legs), "legs", batch_id)
         # One row whatever the batch holds.
-        span = arrived.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
-        if span["first"] is None:
+        span = self.tables.read(spark, arrived, "legs").agg(F.min("meet"), F.max("meet")).first()
+        if span[0] is None:
             return
-
-        def around(shift: int) -> Column:
-            first, last = F.lit(span["first"]), F.lit(span["last"])
-            return F.col("date").between(F.date_add(first, shift), F.date_add(last, shift))
-
-        # The stored legs are read once and kept for three uses.
-        earlier_state = self.tables.open(spark, before=batch_id)
-        near = self.legs(spark, earlier_state, around(-STAY_DAYS) | around(0) | around(STAY_DAYS))
-        near.write.mode("overwrite").parquet(self.near)
-        before = spark.read.schema(LEGS).parquet(self.near)
-
-        # A group that got records but kept its best leg renews nothing.
-        changed = arrived.join(before, _equal(arrived, before, LEGS.fieldNames()), "left_anti")
+        self.near.remove(spark, self.near.folders(spark))  # of an attempt that was stopped
+        near = self.near.write(self.merged(spark, arrived, batch_id, *span), f"{batch_id}-{uuid.uuid4().hex}")
+        near = self.near.read(spark, [near])
+        changed = near.where("fresh")
         written = {"legs": self.tables.write(changed, "legs", batch_id)}
-
-        changed = self.tables.read(spark, written["legs"], "legs")
-        earlier = before.join(changed, _equal(before, changed, LEG_KEY), "left_anti")
-        changed_am, changed_pm = only_leg(changed, "am"), only_leg(changed, "pm")
-        onward = pair_legs(changed_am, only_leg(earlier, "pm").unionByName(changed_pm))
-        # Morning legs of this batch are already paired above.
-        renewed = onward.unionByName(pair_legs(only_leg(earlier, "am"), changed_pm))
-        written["trips"] = self.tables.write(renewed, "trips", batch_id)
+        written["trips"] = self.tables.write(self.renewed(near), "trips", batch_id)
         self.tables.publish(spark, batch_id, written)
 
+    def merged(
+        self, spark: SparkSession, arrived: str, batch_id: int, first: datetime.date, last: datetime.date
+    ) -> DataFrame:
+        """The newest legs that meet from `first` to `last`, `fresh` where the folder `arrived` changed them.
+
+        One scan of earlier folders and the new one, and one aggregate without a shuffle.
+        """
+        earlier = self.tables.open(spark, before=batch_id)
+        rows = self.tables.rows(spark, "legs", [*earlier.name("legs"), arrived], by_bucket=True)
+        rows = rows.where(F.col("meet").between(first, last) | F.col("meet").isNull())
+        values = [c for c in LEGS.fieldNames() if c not in LEG_KEY]
+        version = F.struct("batch_id", *values)
+        known = rows.groupBy(*LEG_KEY, *MEETING).agg(
+            F.max(version).alias("now"), F.max(F.when(F.col("batch_id") < batch_id, version)).alias("before")
+        )
+        # A leg without an earlier one differs from it in its delay, which is never null.
+        differs = [~F.col(f"now.{c}").eqNullSafe(F.col(f"before.{c}")) for c in values]
+        fresh = (F.col("now.batch_id") == batch_id) & functools.reduce(Column.__or__, differs)
+        return known.select(*LEG_KEY, *MEETING, *[f"now.{c}" for c in values], fresh.alias("fresh"))
+
+    @staticmethod
+    def renewed(near: DataFrame) -> DataFrame:
+        """The trips of legs of which one at least is fresh; both sides lie in the same buckets."""
+        am, pm = only_leg(near, "am"), only_leg(near, "pm")
+        onward = pair_legs(am.where("fresh"), pm, meeting=True)
+        # Fresh morning legs are already paired.
+        return onward.unionByName(pair_legs(am.where("NOT fresh"), pm.where("fresh"), meeting=True))
+
     def fold(self, spark: SparkSession, batch_id: int, every: int) -> None:
         """Fold the stored legs, which every batch reads, and the trips."""
         self.tables.fold(spark, batch_id, every)
@@ -114,7 +136,7 @@ class TripTables:
 def incremental_trips(
     topic: DataFrame, tables: TripTables, checkpoint: str,
     year: int | None = None, pm_from_hour: int = 12, seconds: int | None = BATCH_SECONDS,
-    session: SparkSession | None = None, fold_every: int = FOLD_EVERY,
+    session: SparkSession | None = None, fold_every: int = FOLD_LEGS_EVERY,
 ) -> StreamingQuery:
     """Keeps the trip table current: one streaming aggregate, then joins of what changed.
 
