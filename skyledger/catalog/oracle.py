@@ -196,6 +196,14 @@ SELECT {_STORED_LEG} FROM legs WHERE leg = 'am' AND destination = '{LOOKUP["conn
         "tsv_clean_origin_destination": _COUPONS_SQL,
         "flights_by_year": _FLIGHTS_YEAR_SQL,
         "zip_ingest": _FLIGHTS_SQL,
+        "zip_records": f"""WITH {_RAW}, told AS (
+  SELECT flight_num LIKE '%33' AS broken, arr_delay,
+    CASE WHEN flight_num LIKE '%33' THEN origin || ',"' || flight_num
+         WHEN flight_num LIKE '%7' THEN origin || chr(10) || '"twin", ' || dest ELSE origin END AS content
+  FROM raw
+)
+SELECT broken, content, count(*) AS n, CAST(sum(CASE WHEN NOT broken THEN arr_delay END) AS DOUBLE) AS delay
+FROM told GROUP BY broken, content""",
         "clean_bad_rows": f"WITH {_BAD}\nSELECT {_FLIGHT_COLUMNS} FROM clean",
         "valid_clock_only": f"WITH {_BAD}\nSELECT {_FLIGHT_COLUMNS} FROM clean WHERE flight_datetime IS NOT NULL",
         "word_count_files": words,
@@ -244,6 +252,7 @@ SELECT '"' || airport || '","' || CAST(total AS VARCHAR) || '"' AS line FROM tou
 SELECT row_number() OVER (ORDER BY total DESC, airport) - 1 AS index, total FROM touched""",
         "stream_weekday_delay": weekdays.format(extra=day_name),
         "stream_mean_arrival_delay": _MEAN_SQL,
+        "stream_mean_arrival_backfilled": _MEAN_SQL,
         "stream_top_carriers": carriers,
         "stream_top_carriers_wide": _wide("carrier", "c"),
         "stream_top_destinations": destinations,

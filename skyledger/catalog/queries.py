@@ -22,6 +22,7 @@ from skyledger.plans import cleaning, itineraries, popularity, punctuality, word
 from skyledger.session import folder_size, new_path, stage, stream_session
 from skyledger.sinks import files
 from skyledger.sinks.keyed import KeyedTable
+from skyledger.sinks.partials import PartialSums
 from skyledger.sources import archives, topics
 from skyledger.sources import files as source_files
 from skyledger.sources.records import flight_lines, flights_from_lines
@@ -113,6 +114,30 @@ def zip_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_on_time(raw)
 
 
+def zip_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per text of a field that holds line breaks and quotes, read from archives; broken ones apart.
+
+    City names of flights whose number ends in 7 hold a line break, quotes and commas; records
+    of those whose number ends in 33 have a quote that stays open, and come back as they were written.
+    """
+    export = _raw_export(spark, sf_dir, schemas.RAW_ON_TIME)
+    export = export.withColumn(
+        "OriginCityName",
+        F.when(F.col("FlightNum").endswith("7"), F.concat("Origin", F.lit('\n"twin", '), "Dest")).otherwise(F.col("Origin")),
+    )
+    lines = export.select(
+        F.to_csv(F.struct(*export.columns), {"quoteAll": "true", "escape": '"'}).alias("line"),
+        F.concat("Origin", F.lit(',"'), "FlightNum").alias("broken"), F.col("FlightNum").endswith("33").alias("bad"),
+    ).select(F.when(F.col("bad"), F.col("broken")).otherwise(F.col("line")).alias("line"))
+    folder = new_path(spark, "archives")
+    made_archives.write_archives(lines, folder)
+    landed = archives.land_records(spark, folder, new_path(spark, "landed"), schemas.RAW_ON_TIME)
+    broken = F.col(archives.CORRUPT).isNotNull()
+    return landed.groupBy(
+        broken.alias("broken"), F.coalesce(archives.CORRUPT, "OriginCityName").alias("content")
+    ).agg(F.count("*").alias("n"), F.sum("ArrDelay").alias("delay"))
+
+
 def clean_bad_rows(spark: SparkSession, sf_dir: str, valid_clock_only: bool = False) -> DataFrame:
     """The cleaning of records among which are years up to 1980, null years and readings of 1965."""
     return cleaning.clean_on_time(derived.with_bad_rows(spark, sf_dir), valid_clock_only=valid_clock_only)
@@ -292,6 +317,24 @@ def stream_mean_arrival_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.latest(spark).drop("batch_id")
 
 
+def stream_mean_arrival_backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means over sums of two parts: a batch over the first half of the records, a stream over the rest.
+
+    The backfill runs twice, as one done again does.
+    """
+    topic, work = _published(spark, sf_dir)
+    moment = F.timestamp_seconds(F.lit(derived.ARRIVAL_START + derived.ARRIVAL_SPAN // 2))
+    raw = derived.raw_flights(spark, sf_dir, with_arrival=True)
+    past = cleaning.clean_on_time(raw, keep=["timestamp"]).where(F.col("timestamp") < moment)
+    keys = T.StructType(schemas.MEAN_DELAYS.fields[:2])
+    sums = PartialSums(f"{work}/sums", keys)
+    for _ in range(2):
+        sums.backfill("past", past.withColumnRenamed("dest", "destination"), "arr_delay")
+    later = topic.where(F.col("timestamp") >= moment)
+    running.partial_arrival_delays(later, sums, "stream", f"{work}/cp", seconds=None).awaitTermination()
+    return sums.means(spark, "mean_delay")
+
+
 def _stream_ten_best(spark: SparkSession, sf_dir: str, name: str, prefix: str, wide: bool) -> DataFrame:
     topic, work = _published(spark, sf_dir)
     ranked_schema = T.StructType.fromDDL(f"origin string, rank int, {name} string, avg_delay double")
@@ -441,6 +484,7 @@ def queries() -> dict[str, Query]:
         "tsv_clean_origin_destination": tsv_clean_origin_destination,
         "flights_by_year": flights_by_year,
         "zip_ingest": zip_ingest,
+        "zip_records": zip_records,
         "clean_bad_rows": clean_bad_rows,
         "valid_clock_only": lambda s, d: clean_bad_rows(s, d, valid_clock_only=True),
         "word_count_files": word_count_files,
@@ -469,6 +513,7 @@ def queries() -> dict[str, Query]:
         "stream_popularity_index": stream_popularity_index,
         "stream_weekday_delay": stream_weekday_delay,
         "stream_mean_arrival_delay": stream_mean_arrival_delay,
+        "stream_mean_arrival_backfilled": stream_mean_arrival_backfilled,
         "stream_top_carriers": stream_top_carriers,
         "stream_top_carriers_wide": stream_top_carriers_wide,
         "stream_top_destinations": stream_top_destinations,

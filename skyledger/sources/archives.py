@@ -4,25 +4,36 @@ from __future__ import annotations
 
 import io
 import itertools
+import re
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from skyledger.schemas import extended
+
 # Lines handed back to Spark at a time, so an archive never sits unpacked in memory.
 LINES_PER_BATCH = 20_000
 
+# Lines a record may span; one whose quotes stay open longer is broken.
+LINES_PER_RECORD = 64
+
+# Column of what could not be read as a record.
+CORRUPT = "corrupt_record"
+
 
 def read_archives(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
     """Archives below `path` as rows (`path`, `content`), spread over tasks by size.
 
-    The file name is matched without regard to case. Spark refuses files over its
-    2 GB binary limit instead of cutting them.
+    The file name is matched without regard to case; `*` stands for any characters, `?` for
+    one, and all others for themselves. Spark refuses files over its 2 GB binary limit
+    instead of cutting them.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     name = F.lower(F.element_at(F.split("path", "/"), -1))
-    return files.where(name.like(pattern.lower().replace("*", "%"))).select("path", "content")
+    wanted = "".join({"*": ".*", "?": "."}.get(c, re.escape(c)) for c in pattern.lower())
+    return files.where(name.rlike(f"^{wanted}$")).select("path", "content")
 
 
 def unpack_lines(archives: DataFrame, lines_per_batch: int = LINES_PER_BATCH) -> DataFrame:
@@ -52,6 +63,87 @@ def unpack_lines(archives: DataFrame, lines_per_batch: int = LINES_PER_BATCH) ->
     )
 
 
+def unpack_records(
+    archives: DataFrame, records_per_batch: int = LINES_PER_BATCH, lines_per_record: int = LINES_PER_RECORD
+) -> DataFrame:
+    """The CSV records of every member: (`path`, `member`, `record`, `closed`).
+
+    A line break inside a quoted field belongs to the field. A field is quoted if it begins with
+    a quote, and ends at a quote that is not doubled, which only blanks may follow before the next
+    comma or the end. A record whose field is still open after
+    `lines_per_record` lines, or at the end of the member, is broken: its first line comes by itself,
+    not `closed`, and the next line begins a record, so an open quote costs its own
+    line only and no line is lost. Blank lines are no records.
+    """
+
+    # Defined here so that they travel to the executors whole, without this package.
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        field = r'(?:"(?:[^"]++|"")*+"[ \t]*+|[^",][^,]*+|)'
+        whole = re.compile(f"{field}(?:,{field})*+")
+
+        def records(text) -> Iterator[tuple[str, bool]]:
+            waiting: list[str] = []  # lines read ahead, to begin again after a broken record
+            while True:
+                line = waiting.pop() if waiting else next(text, None)
+                if line is None:
+                    return
+                taken = [line.rstrip("\r\n")]
+                if not taken[0].strip():
+                    continue
+                closed = '"' not in line or whole.fullmatch(taken[0]) is not None
+                if not closed:
+                    lines = [line]
+                    while not closed and len(lines) < lines_per_record:
+                        more = waiting.pop() if waiting else next(text, None)
+                        if more is None:
+                            break
+                        lines.append(more)
+                        closed = '"' in more and whole.fullmatch("".join(lines).rstrip("\r\n")) is not None
+                    if closed:
+                        taken = ["".join(lines).rstrip("\r\n")]
+                    else:
+                        waiting.extend(reversed(lines[1:]))
+                yield taken[0], closed
+
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    for member in [m for m in archive.namelist() if m.lower().endswith(".csv")]:
+                        with archive.open(member) as raw:
+                            found = records(iter(io.TextIOWrapper(raw, "utf-8", "replace", newline="\n")))
+                            while some := list(itertools.islice(found, records_per_batch)):
+                                made = pd.DataFrame(some, columns=["record", "closed"])
+                                made.insert(0, "path", path)
+                                made.insert(1, "member", member)
+                                yield made
+
+    return archives.select("path", "content").mapInPandas(
+        unpack, "path string, member string, record string, closed boolean"
+    )
+
+
+def parse_csv_records(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """Records to the declared columns and `corrupt_record`, in the JVM.
+
+    What is not closed, has another number of fields, or holds a field that is not of its column's
+    type keeps its text in `corrupt_record`, which is null in all good rows.
+    """
+    wanted = extended(schema, CORRUPT, T.StringType())
+    row = F.from_csv(
+        F.when(F.col("closed"), F.col("record")), wanted.simpleString()[len("struct<"):-1].replace(":", " "),
+        {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
+    )
+    bad = F.when(~F.col("closed"), F.col("record")).otherwise(F.col(f"row.{CORRUPT}"))
+    return records.withColumn("row", row).select(*[f"row.{f.name}" for f in schema], bad.alias(CORRUPT))
+
+
+def land_records(spark: SparkSession, path: str, out: str, schema: T.StructType) -> DataFrame:
+    """`land_archives` for exports whose fields may hold line breaks; broken records land too."""
+    rows = parse_csv_records(unpack_records(read_archives(spark, path)), schema)
+    rows.write.mode("overwrite").parquet(out)
+    return spark.read.schema(extended(schema, CORRUPT, T.StringType())).parquet(out)
+
+
 def parse_csv_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """Quoted CSV lines to the declared columns, in the JVM."""
     row = F.from_csv(

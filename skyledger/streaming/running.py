@@ -17,6 +17,7 @@ from skyledger.plans.popularity import busiest
 from skyledger.plans.punctuality import as_wide_list, mean_arrival_delay, ten_best
 from skyledger.sinks.files import write_quoted_csv
 from skyledger.sinks.keyed import FOLD_EVERY, KeyedTable
+from skyledger.sinks.partials import PartialSums
 from skyledger.sources.records import flights_from_lines
 from skyledger.streaming.runs import BATCH_SECONDS, each_batch
 
@@ -81,6 +82,23 @@ def mean_arrival_table(
     return each_batch(means, handle, checkpoint, "update", seconds)
 
 
+def partial_arrival_delays(
+    topic: DataFrame, sums: PartialSums, part: str, checkpoint: str, seconds: int | None = BATCH_SECONDS,
+    fold_every: int = FOLD_EVERY,
+) -> StreamingQuery:
+    """Adds the arrival delays per route of each batch to `sums`, as one of its parts.
+
+    Keeps no state: `mean_arrival_table` holds all sums in the stream, where no backfill can
+    add to them. `sums.means` answers over all parts.
+    """
+    flights = flights_from_lines(topic).withColumnRenamed("dest", "destination")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        sums.add(part, batch, "arr_delay", batch_id, fold_every)
+
+    return each_batch(flights, handle, checkpoint, "append", seconds)
+
+
 def _store_changed(table: KeyedTable, rows: DataFrame, batch_id: int, fold_every: int) -> None:
     """Upsert the rows that differ from what earlier batches stored."""
     spark = rows.sparkSession

@@ -1,7 +1,13 @@
 from __future__ import annotations
 
+import csv
+import io
+import random
 import zipfile
 
+import pytest
+from pyspark.sql import types as T
+
 from skyledger import schemas
 from skyledger.plans import cleaning
 from skyledger.sources import archives
@@ -34,3 +40,66 @@ def test_every_csv_of_every_archive(spark, tmp_path):
     clean = cleaning.clean_on_time(raw)
     assert clean.count() == archives.LINES_PER_BATCH + 9
     assert {r["flight_num"] for r in clean.collect()} >= {"0", "a", "b", str(archives.LINES_PER_BATCH + 6)}
+
+
+PLACE = T.StructType([
+    T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType()), T.StructField("note", T.StringType()),
+])
+
+
+def landed(spark, tmp_path, members):
+    (tmp_path / "zips").mkdir()
+    make_zip(tmp_path / "zips" / "a.zip", members)
+    rows = archives.land_records(spark, str(tmp_path / "zips"), str(tmp_path / "out"), PLACE).collect()
+    good = [tuple(r)[:3] for r in rows if r[archives.CORRUPT] is None]
+    return good, [r[archives.CORRUPT] for r in rows if r[archives.CORRUPT] is not None]
+
+
+def test_line_breaks_in_quoted_fields(spark, tmp_path):
+    """Random fields as the standard library writes them are the same after reading."""
+    pick = random.Random(5)
+    rows = [
+        (i, "".join(pick.choices('ab",\n x', k=pick.randint(1, 12))), "".join(pick.choices('z,"\n', k=pick.randint(1, 5))) + ".")
+        for i in range(3000)
+    ]
+    out = io.StringIO()
+    csv.writer(out, quoting=csv.QUOTE_ALL, lineterminator="\r\n").writerows(rows)
+    good, bad = landed(spark, tmp_path, {"a.csv": out.getvalue()})
+    assert bad == [] and sorted(good) == rows
+
+
+def test_broken_records_are_counted_and_cost_no_other(spark, tmp_path):
+    lines = [
+        '1,"a","x"',
+        '2,"never closed,y',
+        '3,"b","two\nlines"',
+        "4,too few",
+        '5,c,d,too many',
+        "word,e,f",
+        '6,a 5" disk,plain quote',
+        "",
+        '7,"""q""",z',
+        '8,"open at the end',
+    ]
+    good, bad = landed(spark, tmp_path, {"a.csv": "\n".join(lines)})
+    assert sorted(good) == [(1, "a", "x"), (3, "b", "two\nlines"), (6, 'a 5" disk', "plain quote"), (7, '"q"', "z")]
+    assert sorted(bad) == sorted([lines[1], lines[3], lines[4], lines[5], lines[9]])
+
+
+def test_an_open_quote_among_many_lines(spark, tmp_path):
+    many = 3 * archives.LINES_PER_RECORD
+    lines = [f"{i},n{i},t" for i in range(many)]
+    lines[10] = '10,"open,t'
+    good, bad = landed(spark, tmp_path, {"a.csv": "\n".join(lines)})
+    assert bad == [lines[10]] and len(good) == many - 1
+
+
+@pytest.mark.parametrize("pattern, names", [
+    ("*.zip", {"a_b.zip", "axb.zip", "A%.ZIP"}), ("a_b.zip", {"a_b.zip"}), ("a?b.zip", {"a_b.zip", "axb.zip"}), ("a%.*", {"A%.ZIP"}),
+])
+def test_file_patterns(spark, tmp_path, pattern, names):
+    for name in ("a_b.zip", "axb.zip", "A%.ZIP", "azip"):
+        make_zip(tmp_path / name, {"a.csv": "1"})
+    found = archives.read_archives(spark, str(tmp_path), pattern).collect()
+    # a percent sign is written as %25 in a path
+    assert {r["path"].rsplit("/", 1)[1].replace("%25", "%") for r in found} == names
