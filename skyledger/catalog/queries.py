@@ -201,8 +201,7 @@ def stored_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trip_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "trips")
     itineraries.store_trips(_trips(spark, sf_dir), path)
-    stored = spark.read.schema(schemas.TRIPS).parquet(path).select(*schemas.TRIPS.fieldNames())
-    return itineraries.trip_lookup(stored, **LOOKUP)
+    return itineraries.trip_lookup(itineraries.stored_trips(spark, path), **LOOKUP)
 
 
 def quoted_totals(spark: SparkSession, sf_dir: str) -> DataFrame:

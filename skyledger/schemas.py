@@ -116,6 +116,9 @@ TRIPS = T.StructType(
 )
 TRIP_KEY = ["origin", "connection", "destination", "origin_date"]
 
+# Stored trips carry one number for their route, by which files are sorted and looked up.
+STORED_TRIPS = T.StructType([*TRIPS.fields, T.StructField("route_key", T.LongType())])
+
 MEAN_DELAYS = T.StructType(
     [
         T.StructField("origin", T.StringType()),

@@ -78,6 +78,39 @@ def test_unknown_departure_is_no_leg(flights):
     assert itineraries.trips(flights(rows)).count() == 0
 
 
+def rows_scanned(frame):
+    """Rows that come out of the file scan when `frame` runs, and what it returns."""
+    found = frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan()
+    return plan.collectLeaves().head().metrics().get("numOutputRows").get().value(), found
+
+
+def test_lookup_reads_few_rows_of_a_date(spark, tmp_path):
+    """200,000 trips of one date, in several row groups."""
+    day, n = dt.date(2008, 1, 1), 200_000
+    moment = F.lit(dt.datetime(2008, 1, 1, 8)).cast("timestamp_ntz")
+    values = {
+        "origin": F.concat(F.lit("O"), F.col("id") % 317), "connection": F.concat(F.lit("C"), F.col("id") % 53),
+        "destination": F.concat(F.lit("D"), F.col("id") % 1009), "origin_date": F.lit(day), "origin_flight": F.col("id"),
+    }
+    rows = spark.range(n).select(*[
+        values.get(f.name, moment if f.dataType.typeName() == "timestamp_ntz" else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schemas.TRIPS
+    ])
+    path = str(tmp_path / "trips")
+    itineraries.store_trips(rows, path, row_group_bytes=1 << 20)
+    stored = itineraries.stored_trips(spark, path)
+    assert stored.count() == n
+    key = ("O%d" % (1234 % 317), "C%d" % (1234 % 53), "D%d" % (1234 % 1009), day)
+    scanned, found = rows_scanned(itineraries.trip_lookup(stored, *key))
+    assert [r["origin_flight"] for r in found] == ["1234"] and stored.columns[:-1] == found[0].__fields__
+    assert scanned <= n // 4
+    plain, same = rows_scanned(itineraries.trip_lookup(stored.drop("route_key"), *key))
+    assert same == found and plain > scanned
+    absent = [rows_scanned(itineraries.trip_lookup(stored, f"O{i}", "C0", "nowhere", day)) for i in range(10)]
+    assert all(not rows for _, rows in absent) and sum(n == 0 for n, _ in absent) >= 8
+
+
 def test_one_scan_and_one_leg_shuffle(spark, flights, tmp_path):
     flights(random_flights(3)).write.parquet(str(tmp_path / "f"))
     trips = itineraries.trips(spark.read.schema(schemas.FLIGHTS).parquet(str(tmp_path / "f")))
