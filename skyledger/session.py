@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,8 +33,37 @@ def shared_dir(spark: SparkSession) -> str:
     return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/staged").rstrip("/")
 
 
+_made: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("made", default=None)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables staged within the block when it is left, also by an error.
+
+    A result that reads them has to be written inside:
+
+        with scratch(spark):
+            corpus.write.parquet(out)
+
+    A block inside another removes its own. Other threads' tables, such as those of a running
+    stream, stay.
+    """
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        made = _made.get()
+        _made.reset(token)
+        for path in made:
+            files, folder = hadoop_path(spark, path)
+            files.delete(folder, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -35,10 +35,15 @@ def each_batch(
 
 
 def dropped_rows(query: StreamingQuery) -> int:
-    """Rows that a stream's recent batches dropped as behind the watermark."""
-    return sum(
-        state.numRowsDroppedByWatermark for batch in query.recentProgress for state in batch.stateOperators
-    )
+    """Rows that a stream dropped as behind the watermark since it was started.
+
+    Spark keeps the reports of its last batches only; if some are gone, this refuses to answer.
+    """
+    reports = query.recentProgress
+    kept = int(query._jsq.sparkSession().conf().get("spark.sql.streaming.numRecentProgressUpdates"))
+    if len(reports) >= kept:
+        raise RuntimeError(f"only the last {kept} reports are kept: raise spark.sql.streaming.numRecentProgressUpdates")
+    return sum(state.numRowsDroppedByWatermark for batch in reports for state in batch.stateOperators)
 
 
 def print_stream(
