@@ -35,3 +35,26 @@ def test_stages_filter_and_keep_columns(spark, tmp_path):
     assert gone == [{303, 304}, toxic, {300, 301}, {302}]
     packed = corpus_pipeline.run(spark, str(tmp_path))
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == {r["doc_id"] for r in kept.collect()}
+
+
+def tables(spark, folder, docs, labels, benchmark):
+    kinds = {"documents": "doc_id long, text string, lang string, source string, n_chars long",
+             "labels": "doc_id long, quality int, toxic int", "benchmark": "item_id long, text string"}
+    for (name, kind), rows in zip(kinds.items(), (docs, labels, benchmark)):
+        spark.createDataFrame(rows, kind).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_empty_tables_give_an_empty_corpus(spark, tmp_path):
+    assert corpus_pipeline.run(spark, tables(spark, tmp_path, [], [], [])).count() == 0
+
+
+def test_repeated_rows_and_documents_without_labels_or_benchmark(spark, tmp_path):
+    """Equal rows are one group of copies, and one of them stays; no label and no item drop nothing."""
+    pick = random.Random(9)
+    text = lambda: " ".join("".join(pick.choices("abcdefgh", k=6)) for _ in range(60))
+    rows = [(i, text(), "xx", "s", 1) for i in range(20)]
+    sf_dir = tables(spark, tmp_path, rows + [rows[3], rows[3], (50, rows[4][1], None, None, None)], [], [])
+    pieces = corpus_pipeline.run(spark, sf_dir).collect()
+    assert {r["doc_id"] for r in pieces} == set(range(20))
+    assert sorted(r["doc_id"] for r in pieces if r["piece"] == 0) == list(range(20))

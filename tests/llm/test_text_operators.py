@@ -3,6 +3,7 @@ from __future__ import annotations
 import collections
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 import zstandard
 from tokenizers import Tokenizer
 
-from skyledger.llm import decontam, langid, lm, packing, sharding, toxicity
+from skyledger.llm import decontam, langid, lm, packing, sharding, texts, toxicity
 
 EDGE = [None, "", " \n\t", "...", "a b c", "é" * 30_000, "a b c"]
 DOCS = "doc_id long, text string, score string, shard string"
@@ -57,6 +58,42 @@ def test_toxicity_learns_from_documents_and_points_at_sentences(spark):
     assert kept == {i for i, s in got.items() if s < 0.5}
 
 
+def plain_sentences(text, weights, bias):
+    """Each sentence of a text and its score, by loops over its words and their beginnings."""
+    found = []
+    for sentence in re.findall(rb"[^\n!.?]*[\n!.?]|[^\n!.?]+", (text or "").encode()):
+        z = bias
+        for word in re.findall(rb"[A-Za-z\x80-\xff]+", sentence):
+            for k in toxicity.PREFIXES:
+                start = np.frombuffer(word[:k].lower(), np.uint8)
+                number = texts.hash_spans(start, np.array([0]), np.array([len(start)])) + np.uint64(k)
+                z += weights.get(int(number[0]), 0.0)
+        found.append((sentence, 1 / (1 + math.exp(-z))))
+    return found
+
+
+def test_toxicity_scores_are_the_noisy_or_of_plain_sentences(spark):
+    rows = labelled(3)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, label int")
+    model = toxicity.fit(toxicity.labelled_sample(docs, labels))
+    weights = dict(zip(map(int, model.words), map(float, model.weights)))
+    assert any(weights.values())
+    pick = random.Random(8)
+    vocab = ["you", "GRUBBLES", "grubblé", "gru", "loster", "a", "é", "7", "grubble", "now", "\n", "!", "..", "?", " "]
+    tried = [*EDGE, "grubbled", "?grubbles!", *(pick.choice(["", " "]).join(pick.choices(vocab, k=pick.randint(1, 30))) for _ in range(300))]
+    tried += [t for _, t, _ in rows[:50]] + tried[5:9]
+    got = {r["doc_id"]: r for r in toxicity.score(docs_of(spark, tried), model).collect()}
+    located = {(r["doc_id"], r["sentence"]): (r["text"], r["score"]) for r in toxicity.locate(docs_of(spark, tried), model, 0.3).collect()}
+    expected = {}
+    for i, text in enumerate(tried):
+        plain = plain_sentences(text, weights, model.bias)
+        assert got[i]["score"] == pytest.approx(1 - math.prod(1 - p for _, p in plain), abs=1e-9)
+        assert got[i]["offending"] == sum(p >= 0.5 for _, p in plain)
+        expected |= {(i, n): (t.decode(), pytest.approx(p)) for n, (t, p) in enumerate(plain) if p >= 0.3}
+    assert expected and located == expected
+
+
 def test_toxicity_edges(spark):
     model = toxicity.fit(toxicity.labelled_sample(docs_of(spark, EDGE), spark.createDataFrame([(1, None)], "doc_id long, label int")))
     rows = toxicity.score(docs_of(spark, EDGE), model).collect()
