@@ -9,7 +9,8 @@ together, and what they are expected to get is taken from the single words' shar
 false hit gives falls with the count of the word before, so pairs after frequent words are
 held by fewer hashes; and as a higher level counts only where the first is held, those
 take few. The filter grows with the corpus; it is broadcast a part of bounded size at a
-time, and a pass over the texts probes the pairs of one part.
+time. Texts are read once: what is staged of them is the number of each word, and the distinct
+pairs of a block of texts, laid out by part, so that a part probes only the pairs that it may hold.
 
 Hashes of words stand for words: 64 bits for single words, 32 and 32 for pairs.
 """
@@ -21,10 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from skyledger.llm import texts
-from skyledger.session import stage
+from skyledger.session import new_path, stage
 
 END = texts.mix(np.array([0xE0D], np.uint64))[0]  # the closing token
 START = texts.mix(np.array([0x57A27], np.uint64))[0]  # what stands before the first
@@ -66,10 +68,19 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def pairs(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Context word (upper half) and word (lower half) at each token."""
-    before = np.empty_like(hashes)
-    before[1:] = hashes[:-1]
-    before[at[:-1]] = START
-    return ((before >> np.uint64(32)) << np.uint64(32)) | (hashes >> np.uint64(32))
+    return pair_keys(shifted(hashes, at, START), hashes)
+
+
+def shifted(own: np.ndarray, at: np.ndarray, start) -> np.ndarray:
+    """What stands before each token; `start` before the first of a row."""
+    before = np.empty_like(own)
+    before[1:] = own[:-1]
+    before[at[:-1]] = start
+    return before
+
+
+def pair_keys(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    return ((before >> np.uint64(32)) << np.uint64(32)) | (after >> np.uint64(32))
 
 
 def bucket_of(half: np.ndarray, n: int) -> np.ndarray:
@@ -77,11 +88,6 @@ def bucket_of(half: np.ndarray, n: int) -> np.ndarray:
     return (texts.mix(half) % np.uint64(n)).astype(np.int64)
 
 
-def block_words(parts: list[np.ndarray]) -> np.ndarray:
-    """Distinct words of a block of texts in order, and what stands before the first."""
-    return np.unique(np.concatenate([*parts, np.array([START], np.uint64)]))
-
-
 def pair_bucket(keys: np.ndarray, n: int) -> np.ndarray:
     return ((texts.mix(keys ^ np.uint64(0xB10C)) >> np.uint64(20)) % np.uint64(n)).astype(np.int64)
 
@@ -248,6 +254,10 @@ class Model:
     distinct: int
     often: Often
 
+    def part_buckets(self, part_bytes: int) -> int:
+        """Buckets of a part of the filter: as many as `part_bytes` hold, or one."""
+        return max(1, part_bytes // self.segment_bytes)
+
 
 def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
     """Counts words and pairs of all texts (`text`; null is empty).
@@ -362,7 +372,7 @@ def filter_parts(model: Model, settings: Settings = Settings()) -> Iterator[Filt
                 raw = Filter.segment(k, level(c, s.least, s.base), often.after(k), size, s.upper_hashes)
                 yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([raw], pa.binary())], ["bucket", "bits"])
 
-    step = max(1, s.part_bytes // size)
+    step = model.part_buckets(s.part_bytes)
     for first in range(0, model.buckets, step):
         segments = np.zeros((min(step, model.buckets - first), size), np.uint8)
         own = model.pairs.where(F.col("bucket").between(first, first + len(segments) - 1))
@@ -371,6 +381,99 @@ def filter_parts(model: Model, settings: Settings = Settings()) -> Iterator[Filt
         yield Filter(segments, hashes, first, model.buckets, often, s.upper_hashes)
 
 
+def _blocks(docs: DataFrame, s: Settings) -> DataFrame:
+    """Some `block_bytes` of texts a row: `words`, the distinct ones in order, the number among
+    them of each token, and each text's doc_id and number of tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, size = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            for part in texts.slices(batch, "text"):
+                if part.num_rows:
+                    held.append((part.column("doc_id"), *tokens(part.column("text"))))
+                size += part.column("text").nbytes
+                if held and size >= s.block_bytes:
+                    yield packed(block, held)
+                    block, held, size = block + 1, [], 0
+        if held:
+            yield packed(block, held)
+
+    def packed(block: int, held: list) -> pa.RecordBatch:
+        ids = pa.concat_arrays([h[0] for h in held])
+        words, numbers = np.unique(np.concatenate([np.array([START], np.uint64), *(h[1] for h in held)]), return_inverse=True)
+        sizes = np.concatenate([np.diff(h[2]) for h in held])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+             *(pa.array([x.tobytes()], pa.binary()) for x in (sizes.astype("<u4"), words, numbers[1:].astype("<u4")))],
+            ["block", "doc_id", "sizes", "words", "numbers"])
+
+    return docs.mapInArrow(run, "block long, doc_id array<long>, sizes binary, words binary, numbers binary")
+
+
+@dataclasses.dataclass
+class Block:
+    """A row of `_blocks`: its tokens, and its distinct pairs as numbers of two words."""
+
+    words: np.ndarray
+    numbers: np.ndarray
+    at: np.ndarray
+    before: np.ndarray
+    after: np.ndarray
+    pair: np.ndarray  # of each token
+
+    @staticmethod
+    def each(rows: pa.RecordBatch | pa.Table) -> Iterator[Block]:
+        for sizes, words, numbers in zip(*(_read(rows.column(c), k) for c, k in (
+                ("sizes", "<u4"), ("words", "<u8"), ("numbers", "<u4")))):
+            at = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+            numbers = numbers.astype(np.int64)
+            code = shifted(numbers, at, np.searchsorted(words, START)) * len(words) + numbers
+            distinct, pair = np.unique(code, return_inverse=True)
+            yield Block(words, numbers, at, distinct // len(words), distinct % len(words), pair)
+
+    def keys(self) -> np.ndarray:
+        return pair_keys(self.words[self.before], self.words[self.after])
+
+
+def _levels(blocks: DataFrame, model: Model, s: Settings) -> DataFrame:
+    """`block`, `part`, `levels`: what each part of the filter holds of a block's distinct pairs.
+
+    The pairs are staged by part, so all parts together probe each of them once; a part is
+    broadcast, probed and let go of before the next is made.
+    """
+    spark, n, step = blocks.sparkSession, model.buckets, model.part_buckets(s.part_bytes)
+    parts = -(-n // step)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, own in zip(batch.column("block").to_pylist(), Block.each(batch)):
+                keys = own.keys()
+                out = [(part, k.tobytes()) for part, k in _split(pair_bucket(keys, n) // step, parts, keys)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block] * len(out), pa.int64()), pa.array([r[1] for r in out], pa.binary()),
+                     pa.array([r[0] for r in out], pa.int32())], ["block", "keys", "part"])
+
+    asked = "block long, keys binary, part int"
+    keys_path, levels_path = new_path(spark, "pairs"), new_path(spark, "levels")
+    blocks.select("block", "sizes", "words", "numbers").mapInArrow(ask, asked).write.partitionBy("part").parquet(keys_path)
+    keys = spark.read.schema(asked).parquet(keys_path)
+    for number, part in enumerate(filter_parts(model, s)):
+        sent = spark.sparkContext.broadcast(
+            (part.segments, part.hashes, part.first, part.buckets, part.often, part.upper))
+        del part
+
+        def probe(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            own = Filter(*sent.value)
+            for batch in batches:
+                found = [own.levels(k).astype(np.uint8).tobytes() for k in _read(batch.column("keys"), "<u8")]
+                yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(found, pa.binary())], ["block", "levels"])
+
+        (keys.where(F.col("part") == number).select("block", "keys").mapInArrow(probe, "block long, levels binary")
+         .write.parquet(f"{levels_path}/part={number}"))
+        sent.destroy()  # with the driver's copy
+    return spark.read.schema("block long, levels binary, part int").parquet(levels_path)
+
+
 def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:
     """Scores of whole texts: `doc_id`, `n_tokens`, `n_known`, `train_tokens`, `base_score`, `score`.
 
@@ -378,38 +481,24 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
     is its closing token. Both scores are sums of log10 probabilities: `base_score` of words
     alone, add-one smoothed, and `score` of words after words.
 
-    Exact word counts are too many to send everywhere: texts are dealt into blocks, the
+    Exact word counts are too many to send everywhere: texts are taken in blocks, the
     distinct words of a block ask their bucket, and the answers, in the order of the words
-    and without them, meet the block again. With
-    more than one part of the filter, each pass adds up the tokens whose pair is in its
-    part, is written, and lets go of its broadcast; then the passes' sums are added.
+    and without them, meet the block again. So do the levels of its distinct pairs.
     """
     s = settings
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    total = docs.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    blocks = int(max(8, -(-total // s.block_bytes)))
     n, n_tokens, n_distinct = model.buckets, model.tokens, model.distinct
+    step = model.part_buckets(s.part_bytes)
     gain_unseen = n_distinct * (s.least - s.discount)  # of all unseen pairs after a word, if they passed
-    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
+    often = docs.sparkSession.sparkContext.broadcast(model.often)
+    blocks = stage(_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), s), "blocks")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {}
         for batch in batches:
-            for part in texts.slices(batch, "text"):
-                own, at = tokens(part.column("text"))
-                block = part.column("block").to_numpy(zero_copy_only=False)
-                for b in np.unique(block):
-                    rows = np.repeat(block == b, np.diff(at))
-                    held.setdefault(int(b), []).append(np.unique(own[rows]))
-                    if len(held[int(b)]) >= 64:
-                        held[int(b)] = [np.unique(np.concatenate(held[int(b)]))]
-        for b, parts in held.items():
-            keys = block_words(parts)
-            out = [(bucket, k.tobytes()) for bucket, k in _split(bucket_of(keys >> np.uint64(32), n), n, keys)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b] * len(out), pa.int32()), pa.array([r[0] for r in out], pa.int32()),
-                 pa.array([r[1] for r in out], pa.binary())], ["block", "bucket", "keys"])
+            for b, words in zip(batch.column("block").to_pylist(), _read(batch.column("words"), "<u8")):
+                out = [(bucket, k.tobytes()) for bucket, k in _split(bucket_of(words >> np.uint64(32), n), n, words)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b] * len(out), pa.int64()), pa.array([r[0] for r in out], pa.int32()),
+                     pa.array([r[1] for r in out], pa.binary())], ["block", "bucket", "keys"])
 
     def answer(asked: pa.Table, words: pa.Table) -> pa.Table:
         kind = words.column("kind").to_numpy() if words.num_rows else np.zeros(0, np.int64)
@@ -425,78 +514,49 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
             out.append((_look(known, times, k).astype("<i8").tobytes(),
                         _look(context, mass, k >> np.uint64(32)).astype("<f4").tobytes()))
         return pa.table({
-            **{c: asked.column(c).cast(pa.int32()) if asked.num_rows else pa.array([], pa.int32())
-               for c in ("block", "bucket")},
+            **{c: asked.column(c).cast(t) if asked.num_rows else pa.array([], t)
+               for c, t in (("block", pa.int64()), ("bucket", pa.int32()))},
             **{c: pa.array([r[i] for r in out], pa.binary()) for i, c in enumerate(("counts", "mass"))}})
 
-    def judge(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        own = Filter(*part_sent.value)
-        held = [(part.column("doc_id"), part.column("text_key"), *tokens(part.column("text")))
-                for chunk in rows.to_batches() for part in texts.slices(chunk, "text")]
-        known = block_words([h[2] for h in held])
-        counts, mass = np.zeros(len(known), np.int64), np.zeros(len(known))
-        told = dict(zip(answers.column("bucket").to_pylist(),
-                        zip(_read(answers.column("counts"), "<i8"), _read(answers.column("mass"), "<f4"))))
-        for b, places in _split(bucket_of(known >> np.uint64(32), n), n, np.arange(len(known))):
-            counts[places], mass[places] = told[b]
-        docs_started = _look(known, counts, np.array([END], np.uint64))[0]
-        results = []
-        for doc_id, text_key, own_tokens, at in held:
-            number = np.searchsorted(known, own_tokens)
-            c = counts[number]
-            single = (c + 1.0) / (n_tokens + 1.0 * (n_distinct + 1))
-            before = np.empty_like(number)
-            before[1:] = number[:-1]
-            before[at[:-1]] = np.searchsorted(known, START)
-            c_before = counts[before].astype(float)
-            c_before[at[:-1]] = docs_started  # as many texts begin as end
-            asked_pairs = pairs(own_tokens, at)
-            here = own.holds(asked_pairs)
-            found = np.zeros(len(asked_pairs), np.int64)
-            found[here] = believed(own.levels(asked_pairs[here]), s.least, s.base)
-            gain = np.where(found > 0, typical(np.maximum(found, 1), s.least, s.base) - s.discount, 0.0)
-            whole = np.maximum(c_before, 1.0)
-            kept = np.minimum(mass[before] / whole, 0.999)
-            unseen = gain_unseen * 0.5 ** own.often.after(asked_pairs).astype(float)
-            rest = np.maximum(1 - kept - np.minimum(unseen / whole, kept), 1e-9)
-            joint = np.where(c_before > 0, np.minimum(gain / whole, kept) + rest * single, single)
-            results.append((doc_id, text_key, np.diff(at),
-                            texts.row_sums((c > 0).astype(np.int64), at), np.add.reduceat(np.log10(single), at[:-1]),
-                            np.add.reduceat(np.where(here, np.log10(joint), 0.0), at[:-1])))
+    def judge(rows: pa.Table, told: pa.Table) -> pa.Table:
+        own, = Block.each(rows)
+        words, keys = own.words, own.keys()
+        answers, probed = (told.filter(x) for x in (told.column("levels").is_null(), told.column("levels").is_valid()))
+        counts, mass = np.zeros(len(words), np.int64), np.zeros(len(words))
+        by_bucket = dict(zip(answers.column("bucket").to_pylist(),
+                             zip(_read(answers.column("counts"), "<i8"), _read(answers.column("mass"), "<f4"))))
+        for b, places in _split(bucket_of(words >> np.uint64(32), n), n, np.arange(len(words))):
+            counts[places], mass[places] = by_bucket[b]
+        found = np.zeros(len(keys), np.int64)
+        by_part = dict(zip(probed.column("bucket").to_pylist(), _read(probed.column("levels"), "u1")))
+        for part, places in _split(pair_bucket(keys, n) // step, -(-n // step), np.arange(len(keys))):
+            found[places] = by_part[part]
+        found = believed(found, s.least, s.base)
+        seen = counts.astype(float)
+        seen[words == START] = _look(words, counts, np.array([END], np.uint64))  # as many texts begin as end
+        single = (counts + 1.0) / (n_tokens + 1.0 * (n_distinct + 1))
+        gain = np.where(found > 0, typical(np.maximum(found, 1), s.least, s.base) - s.discount, 0.0)
+        c_before = seen[own.before]
+        whole = np.maximum(c_before, 1.0)
+        kept = np.minimum(mass[own.before] / whole, 0.999)
+        unseen = gain_unseen * 0.5 ** often.value.after(keys).astype(float)
+        rest = np.maximum(1 - kept - np.minimum(unseen / whole, kept), 1e-9)
+        alone = single[own.after]
+        joint = np.log10(np.where(c_before > 0, np.minimum(gain / whole, kept) + rest * alone, alone))
         return pa.table({
-            **{name: pa.chunked_array([r[i] for r in results], pa.int64()) for i, name in enumerate(("doc_id", "text_key"))},
-            **{name: pa.array(np.concatenate([r[i] for r in results])) for i, name in ((2, "n_tokens"), (3, "n_known"))},
-            "train_tokens": pa.array(np.full(sum(len(r[0]) for r in results), n_tokens, np.int64)),
-            **{name: pa.array(np.concatenate([r[i] for r in results])) for i, name in ((4, "base_score"), (5, "score"))}})
+            "doc_id": rows.column("doc_id").combine_chunks().flatten(), "n_tokens": np.diff(own.at),
+            "n_known": texts.row_sums((counts > 0)[own.numbers].astype(np.int64), own.at),
+            "train_tokens": np.full(len(own.at) - 1, n_tokens, np.int64),
+            "base_score": np.add.reduceat(np.log10(single)[own.numbers], own.at[:-1]),
+            "score": np.add.reduceat(joint[own.pair], own.at[:-1])})
 
-    asked = dealt.mapInArrow(ask, "block int, bucket int, keys binary")
+    asked = blocks.select("block", "words").mapInArrow(ask, "block long, bucket int, keys binary")
     answers = asked.groupBy("bucket").cogroup(model.words.groupBy("bucket")).applyInArrow(
-        answer, "block int, bucket int, counts binary, mass binary")
-    if model.segment_bytes * n > s.part_bytes and n > 1:
-        answers = stage(answers, "answers")  # read by every pass
-    keyed = dealt.withColumn("text_key", F.xxhash64("text", F.lit(7)))
-    schema = ("doc_id long, text_key long, n_tokens long, n_known long, train_tokens long, "
-              "base_score double, score double")
-    names = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    passes = []
-    for part in filter_parts(model, s):
-        part_sent = spark.sparkContext.broadcast(
-            (part.segments, part.hashes, part.first, part.buckets, part.often, part.upper))
-        judged = keyed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(judge, schema)
-        if len(part.segments) == n:
-            return judged.select(*names)
-        passes.append(stage(judged, "scores").withColumn("pass", F.lit(len(passes))))
-        part_sent.destroy()  # with the driver's copy
-        del part
-    # repeated rows give equal results: their number is that of any one pass
-    sums = passes[0]
-    for more in passes[1:]:
-        sums = sums.unionByName(more)
-    once = sums.groupBy("doc_id", "text_key").agg(
-        F.count_if(F.col("pass") == 0).cast("int").alias("copies"), F.sum("score").alias("score"),
-        *[F.min(c).alias(c) for c in names[1:5]])
-    return once.select(*names[:5], (F.col("score") / F.col("copies")).alias("score"),
-                       F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).select(*names)
+        answer, "block long, bucket int, counts binary, mass binary")
+    told = answers.withColumn("levels", F.lit(None).cast("binary")).unionByName(
+        _levels(blocks, model, s).select("block", F.col("part").alias("bucket"), "levels"), allowMissingColumns=True)
+    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+        judge, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def _look(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
