@@ -41,7 +41,7 @@ class Settings:
     table of `most_often` words holds the most frequent. `block_bytes` of text are scored at a time, and counts are
     merged in buckets of about `bucket_bytes` of text."""
 
-    part_bytes: int = 64 << 20
+    part_bytes: int = 32 << 20
     false_mass: float = 0.02
     base: float = 2.0**0.5
     least: int = 1
@@ -50,7 +50,7 @@ class Settings:
     often: int = 64
     most_often: int = 1 << 20
     chunk_bytes: int = 8 << 20
-    block_bytes: int = 8 << 20
+    block_bytes: int = 4 << 20
     bucket_bytes: int = 8 << 20
 
 
@@ -417,9 +417,9 @@ class Block:
     words: np.ndarray
     numbers: np.ndarray
     at: np.ndarray
+    code: np.ndarray  # of the pair that ends at each token
     before: np.ndarray
     after: np.ndarray
-    pair: np.ndarray  # of each token
 
     @staticmethod
     def each(rows: pa.RecordBatch | pa.Table) -> Iterator[Block]:
@@ -428,8 +428,12 @@ class Block:
             at = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
             numbers = numbers.astype(np.int64)
             code = shifted(numbers, at, np.searchsorted(words, START)) * len(words) + numbers
-            distinct, pair = np.unique(code, return_inverse=True)
-            yield Block(words, numbers, at, distinct // len(words), distinct % len(words), pair)
+            distinct = np.unique(code)
+            yield Block(words, numbers, at, code, distinct // len(words), distinct % len(words))
+
+    def pair(self) -> np.ndarray:
+        """The number of the pair that ends at each token."""
+        return np.searchsorted(self.before * len(self.words) + self.after, self.code)
 
     def keys(self) -> np.ndarray:
         return pair_keys(self.words[self.before], self.words[self.after])
@@ -548,7 +552,7 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
             "n_known": texts.row_sums((counts > 0)[own.numbers].astype(np.int64), own.at),
             "train_tokens": np.full(len(own.at) - 1, n_tokens, np.int64),
             "base_score": np.add.reduceat(np.log10(single)[own.numbers], own.at[:-1]),
-            "score": np.add.reduceat(joint[own.pair], own.at[:-1])})
+            "score": np.add.reduceat(joint[own.pair()], own.at[:-1])})
 
     asked = blocks.select("block", "words").mapInArrow(ask, "block long, bucket int, keys binary")
     answers = asked.groupBy("bucket").cogroup(model.words.groupBy("bucket")).applyInArrow(
