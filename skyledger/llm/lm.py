@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -163,8 +164,28 @@ def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def _read(column, kind: str) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), kind) for chunk in getattr(column, "chunks", [column]) for x in chunk]
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers by byte planes, compressed: high bytes are mostly alike."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.compress(planes.tobytes(), 1)
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Keys in order, as differences."""
+    return _packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpacked(raw: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _read(column, kind: str) -> Iterator[np.ndarray]:
+    return (_unpacked(x.as_buffer(), kind) for chunk in getattr(column, "chunks", [column]) for x in chunk)
+
+
+def _read_keys(column) -> Iterator[np.ndarray]:
+    return (np.cumsum(x, dtype=np.uint64) for x in _read(column, "<u8"))
 
 
 class Filter:
@@ -286,7 +307,7 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
     def counted(held):
         for kind, bucket in ((0, lambda k: bucket_of(k >> np.uint64(32), n)), (1, lambda k: pair_bucket(k, n))):
             keys, counts = np.unique(np.concatenate([h[kind] for h in held]), return_counts=True)
-            out = [(kind, b, k.tobytes(), c.tobytes())
+            out = [(kind, b, _packed_keys(k), _packed(c))
                    for b, k, c in _split(bucket(keys), n, keys, counts.astype("<u4"))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))],
@@ -294,7 +315,7 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
 
     def merge(group: pa.Table) -> pa.Table:
         kind, bucket = group.column("kind")[0].as_py(), group.column("bucket")[0].as_py()
-        keys, counts = _merge(_read(group.column("keys"), "<u8"),
+        keys, counts = _merge(list(_read_keys(group.column("keys"))),
                               [c.astype(np.int64) for c in _read(group.column("counts"), "<u4")])
         distinct, everything = len(keys), int(counts.sum())
         if kind:
@@ -303,7 +324,7 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
         return pa.table({
             "kind": pa.array([kind], pa.int32()), "bucket": pa.array([bucket], pa.int32()),
             "distinct": pa.array([distinct], pa.int64()), "total": pa.array([everything], pa.int64()),
-            "keys": pa.array([keys.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary())})
+            "keys": pa.array([_packed_keys(keys)], pa.binary()), "counts": pa.array([_packed(counts)], pa.binary())})
 
     schema = ("kind int, bucket int, distinct long, total long, keys binary, counts binary")
     merged = stage(docs.mapInArrow(count, "kind int, bucket int, keys binary, counts binary")
@@ -314,7 +335,7 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, c in zip(_read(batch.column("keys"), "<u8"), _read(batch.column("counts"), "<i8")):
+            for k, c in zip(_read_keys(batch.column("keys")), _read(batch.column("counts"), "<i8")):
                 picked = c >= seen_often
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([(k[picked] >> np.uint64(32)).astype("<u4").tobytes()], pa.binary()),
@@ -333,7 +354,7 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
         """How many bits the pairs of each bucket set."""
         for batch in batches:
             sums = [int((often.after(k) + (level(c, s.least, s.base) - 1) * s.upper_hashes).sum())
-                    for k, c in zip(_read(batch.column("keys"), "<u8"), _read(batch.column("counts"), "<i8"))]
+                    for k, c in zip(_read_keys(batch.column("keys")), _read(batch.column("counts"), "<i8"))]
             yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int64())], ["bits"])
 
     # buckets are alike, with a tenth to spare
@@ -344,12 +365,12 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
     def mass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Discounted counts of pairs, as the filter will give them, by context word."""
         for batch in batches:
-            for k, c in zip(_read(batch.column("keys"), "<u8"), _read(batch.column("counts"), "<i8")):
+            for k, c in zip(_read_keys(batch.column("keys")), _read(batch.column("counts"), "<i8")):
                 if not len(k):
                     continue
                 worth = typical(level(c, s.least, s.base), s.least, s.base) - s.discount
                 context, number = np.unique(k >> np.uint64(32), return_inverse=True)
-                rows = [(b, x.astype("<u8").tobytes(), y.astype("<f8").tobytes()) for b, x, y in _split(
+                rows = [(b, _packed_keys(x), _packed(y)) for b, x, y in _split(
                     bucket_of(context, n), n, context, np.bincount(number, worth))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int32()), pa.array([2] * len(rows), pa.int32()),
@@ -368,7 +389,7 @@ def filter_parts(model: Model, settings: Settings = Settings()) -> Iterator[Filt
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b, k, c in zip(batch.column("bucket").to_pylist(), _read(batch.column("keys"), "<u8"), _read(batch.column("counts"), "<i8")):
+            for b, k, c in zip(batch.column("bucket").to_pylist(), _read_keys(batch.column("keys")), _read(batch.column("counts"), "<i8")):
                 raw = Filter.segment(k, level(c, s.least, s.base), often.after(k), size, s.upper_hashes)
                 yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([raw], pa.binary())], ["bucket", "bits"])
 
@@ -404,7 +425,8 @@ def _blocks(docs: DataFrame, s: Settings) -> DataFrame:
         sizes = np.concatenate([np.diff(h[2]) for h in held])
         return pa.RecordBatch.from_arrays(
             [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-             *(pa.array([x.tobytes()], pa.binary()) for x in (sizes.astype("<u4"), words, numbers[1:].astype("<u4")))],
+             *(pa.array([x], pa.binary()) for x in (
+                 _packed(sizes.astype("<u4")), _packed_keys(words), _packed(numbers[1:].astype("<u4"))))],
             ["block", "doc_id", "sizes", "words", "numbers"])
 
     return docs.mapInArrow(run, "block long, doc_id array<long>, sizes binary, words binary, numbers binary")
@@ -423,8 +445,8 @@ class Block:
 
     @staticmethod
     def each(rows: pa.RecordBatch | pa.Table) -> Iterator[Block]:
-        for sizes, words, numbers in zip(*(_read(rows.column(c), k) for c, k in (
-                ("sizes", "<u4"), ("words", "<u8"), ("numbers", "<u4")))):
+        for sizes, words, numbers in zip(
+                _read(rows.column("sizes"), "<u4"), _read_keys(rows.column("words")), _read(rows.column("numbers"), "<u4")):
             at = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
             numbers = numbers.astype(np.int64)
             code = shifted(numbers, at, np.searchsorted(words, START)) * len(words) + numbers
@@ -452,7 +474,7 @@ def _levels(blocks: DataFrame, model: Model, s: Settings) -> DataFrame:
         for batch in batches:
             for block, own in zip(batch.column("block").to_pylist(), Block.each(batch)):
                 keys = own.keys()
-                out = [(part, k.tobytes()) for part, k in _split(pair_bucket(keys, n) // step, parts, keys)]
+                out = [(part, _packed_keys(k)) for part, k in _split(pair_bucket(keys, n) // step, parts, keys)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block] * len(out), pa.int64()), pa.array([r[1] for r in out], pa.binary()),
                      pa.array([r[0] for r in out], pa.int32())], ["block", "keys", "part"])
@@ -469,7 +491,7 @@ def _levels(blocks: DataFrame, model: Model, s: Settings) -> DataFrame:
         def probe(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             own = Filter(*sent.value)
             for batch in batches:
-                found = [own.levels(k).astype(np.uint8).tobytes() for k in _read(batch.column("keys"), "<u8")]
+                found = [_packed(own.levels(k).astype(np.uint8)) for k in _read_keys(batch.column("keys"))]
                 yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(found, pa.binary())], ["block", "levels"])
 
         (keys.where(F.col("part") == number).select("block", "keys").mapInArrow(probe, "block long, levels binary")
@@ -498,25 +520,25 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b, words in zip(batch.column("block").to_pylist(), _read(batch.column("words"), "<u8")):
-                out = [(bucket, k.tobytes()) for bucket, k in _split(bucket_of(words >> np.uint64(32), n), n, words)]
+            for b, words in zip(batch.column("block").to_pylist(), _read_keys(batch.column("words"))):
+                out = [(bucket, _packed_keys(k)) for bucket, k in _split(bucket_of(words >> np.uint64(32), n), n, words)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([b] * len(out), pa.int64()), pa.array([r[0] for r in out], pa.int32()),
                      pa.array([r[1] for r in out], pa.binary())], ["block", "bucket", "keys"])
 
     def answer(asked: pa.Table, words: pa.Table) -> pa.Table:
         kind = words.column("kind").to_numpy() if words.num_rows else np.zeros(0, np.int64)
-        raw = _read(words.column("keys"), "<u8") if words.num_rows else []
+        raw = list(_read_keys(words.column("keys"))) if words.num_rows else []
         counts = [x.as_buffer() for x in words.column("counts")] if words.num_rows else []
-        single = [(k, np.frombuffer(c, "<i8")) for t, k, c in zip(kind, raw, counts) if t == 0]
-        after = [(k, np.frombuffer(c, "<f8")) for t, k, c in zip(kind, raw, counts) if t == 2]
+        single = [(k, _unpacked(c, "<i8")) for t, k, c in zip(kind, raw, counts) if t == 0]
+        after = [(k, _unpacked(c, "<f8")) for t, k, c in zip(kind, raw, counts) if t == 2]
         none = np.zeros(0, np.uint64)
         known, times = _merge([none, *(k for k, _ in single)], [np.zeros(0, np.int64), *(c for _, c in single)])
         context, mass = _merge([none, *(k for k, _ in after)], [np.zeros(0), *(c for _, c in after)])
         out = []
-        for k in _read(asked.column("keys"), "<u8") if asked.num_rows else []:
-            out.append((_look(known, times, k).astype("<i8").tobytes(),
-                        _look(context, mass, k >> np.uint64(32)).astype("<f4").tobytes()))
+        for k in _read_keys(asked.column("keys")) if asked.num_rows else []:
+            out.append((_packed(_look(known, times, k).astype("<i8")),
+                        _packed(_look(context, mass, k >> np.uint64(32)).astype("<f4"))))
         return pa.table({
             **{c: asked.column(c).cast(t) if asked.num_rows else pa.array([], t)
                for c, t in (("block", pa.int64()), ("bucket", pa.int32()))},
