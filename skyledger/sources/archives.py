@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import io
-import itertools
 import re
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from skyledger.schemas import extended
 
+# Bytes of a member unpacked at a time.
+CHUNK = 4 << 20
+
 # Lines handed back to Spark at a time, so an archive never sits unpacked in memory.
 LINES_PER_BATCH = 20_000
 
@@ -36,6 +40,43 @@ def read_archives(spark: SparkSession, path: str, pattern: str = "*.zip") -> Dat
     return files.where(name.rlike(f"^{wanted}$")).select("path", "content")
 
 
+def _member_lines():
+    """A reader of archives' CSV members that travels to the executors whole, without this package."""
+    chunk = CHUNK
+
+    def member_lines(
+        batches: Iterator[pa.RecordBatch], ends: bool = False
+    ) -> Iterator[tuple[str, str, pa.Array | None]]:
+        """(path, member, lines with their line breaks), some at a time; `ends`: None once a member is over."""
+        for batch in batches:
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                path = path.as_py()
+                with zipfile.ZipFile(io.BytesIO(content.as_buffer())) as archive:
+                    for member in [m for m in archive.namelist() if m.lower().endswith(".csv")]:
+                        with archive.open(member) as raw:
+                            begun: list[bytes] = []  # a line whose end has not come
+                            while True:
+                                piece = raw.read(chunk)
+                                cut = piece.rfind(b"\n") + 1
+                                if piece and not cut:
+                                    begun.append(piece)
+                                    continue
+                                text = b"".join([*begun, piece[:cut]]).decode("utf-8", "replace")
+                                begun = [piece[cut:]]
+                                if text:
+                                    parts = pc.split_pattern(pa.array([text], pa.large_string()), "\n").values.cast(pa.string())
+                                    # All but the last have lost their break.
+                                    broken = pc.binary_join_element_wise(parts.slice(0, len(parts) - 1), "\n", "")
+                                    ending = parts.slice(len(parts) - 1)
+                                    yield path, member, broken if text.endswith("\n") else pa.concat_arrays([broken, ending])
+                                if not piece:
+                                    break
+                        if ends:
+                            yield path, member, None
+
+    return member_lines
+
+
 def unpack_lines(archives: DataFrame, lines_per_batch: int = LINES_PER_BATCH) -> DataFrame:
     """The lines of every CSV member: (`path`, `member`, `line`).
 
@@ -46,19 +87,16 @@ def unpack_lines(archives: DataFrame, lines_per_batch: int = LINES_PER_BATCH) ->
     """
 
     # Defined here so that it travels to the executors whole, without this package.
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    members = [m for m in archive.namelist() if m.lower().endswith(".csv")]
-                    for member in members:
-                        with archive.open(member) as raw:
-                            text = io.TextIOWrapper(raw, "utf-8", "replace", newline="\n")
-                            while lines := list(itertools.islice(text, lines_per_batch)):
-                                trimmed = [line.rstrip("\r\n") for line in lines]
-                                yield pd.DataFrame({"path": path, "member": member, "line": trimmed})
-
-    return archives.select("path", "content").mapInPandas(
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for path, member, lines in member_lines(batches):
+            lines = pc.ascii_rtrim(lines, "\r\n")
+            for at in range(0, len(lines), lines_per_batch):
+                some = lines.slice(at, lines_per_batch)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(path, len(some)), pa.repeat(member, len(some)), some], ["path", "member", "line"])
+
+    member_lines = _member_lines()
+    return archives.select("path", "content").mapInArrow(
         unpack, "path string, member string, line string"
     )
 
@@ -77,47 +115,73 @@ def unpack_records(
     """
 
     # Defined here so that they travel to the executors whole, without this package.
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Without possessive parts these read the same: how a field goes on is told by its next character.
+        field = r'(?:"(?:[^"]|"")*"[ \t]*|[^",][^,]*|)'
+        whole = rf"\A{field}(?:,{field})*\z"
+        # What Python calls white space.
+        blank = r"\A[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]*\z"
         field = r'(?:"(?:[^"]++|"")*+"[ \t]*+|[^",][^,]*+|)'
-        whole = re.compile(f"{field}(?:,{field})*+")
-
-        def records(text) -> Iterator[tuple[str, bool]]:
-            waiting: list[str] = []  # lines read ahead, to begin again after a broken record
-            while True:
-                line = waiting.pop() if waiting else next(text, None)
-                if line is None:
-                    return
-                taken = [line.rstrip("\r\n")]
-                if not taken[0].strip():
+        opened = re.compile(rf'(?:{field},)*+"(?:[^"]++|"")*+')
+        ended = re.compile(rf'(?:[^"]++|"")*+"[ \t]*+(?:,{field})*+')
+        again = re.compile(rf'(?:[^"]++|"")*+"[ \t]*+,(?:{field},)*+"(?:[^"]++|"")*+')
+
+        def record(lines: pa.Array, at: int) -> int | None:
+            """The line after a record that begins with an open field: `at` if it is broken, None if `lines` end first."""
+            if opened.fullmatch(lines[at].as_py().rstrip("\r\n")) is None:
+                return at
+            for number in range(at + 1, at + lines_per_record):
+                if number >= len(lines):
+                    return None
+                more = lines[number].as_py().rstrip("\r\n")
+                if '"' not in more:
                     continue
-                closed = '"' not in line or whole.fullmatch(taken[0]) is not None
-                if not closed:
-                    lines = [line]
-                    while not closed and len(lines) < lines_per_record:
-                        more = waiting.pop() if waiting else next(text, None)
-                        if more is None:
-                            break
-                        lines.append(more)
-                        closed = '"' in more and whole.fullmatch("".join(lines).rstrip("\r\n")) is not None
-                    if closed:
-                        taken = ["".join(lines).rstrip("\r\n")]
-                    else:
-                        waiting.extend(reversed(lines[1:]))
-                yield taken[0], closed
-
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for member in [m for m in archive.namelist() if m.lower().endswith(".csv")]:
-                        with archive.open(member) as raw:
-                            found = records(iter(io.TextIOWrapper(raw, "utf-8", "replace", newline="\n")))
-                            while some := list(itertools.islice(found, records_per_batch)):
-                                made = pd.DataFrame(some, columns=["record", "closed"])
-                                made.insert(0, "path", path)
-                                made.insert(1, "member", member)
-                                yield made
-
-    return archives.select("path", "content").mapInPandas(
+                if ended.fullmatch(more) is not None:
+                    return number + 1
+                # Neither closed nor open: no further line can close it.
+                if again.fullmatch(more) is None and more.replace('""', "").count('"'):
+                    return at
+            return at
+
+        def rows(path: str, member: str, found: pa.Array, closed: pa.Array) -> Iterator[pa.RecordBatch]:
+            for start in range(0, len(found), records_per_batch):
+                some, state = found.slice(start, records_per_batch), closed.slice(start, records_per_batch)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(path, len(some)), pa.repeat(member, len(some)), some, state],
+                    ["path", "member", "record", "closed"])
+
+        rest = pa.array([], pa.string())  # lines of a record that later ones go on; none once a member is over
+        for path, member, lines in member_lines(batches, ends=True):
+            last = lines is None
+            lines = rest if last else pa.concat_arrays([rest, lines])
+            trimmed = pc.ascii_rtrim(lines, "\r\n")
+            single = pc.match_substring_regex(trimmed, whole).to_numpy(zero_copy_only=False)
+            plain = single & ~pc.match_substring_regex(trimmed, blank).to_numpy(zero_copy_only=False)
+            made, closed, free, end = [], [], 0, len(lines)
+            for at in np.flatnonzero(~single).tolist():
+                if at < free:
+                    continue
+                after = record(lines, at)
+                if after is None and not last:
+                    end = at
+                    break
+                if after is None or after == at:
+                    made.append(trimmed[at].as_py())
+                    closed.append(False)
+                    free = at + 1
+                else:
+                    made.append("".join(lines.slice(at, after - at).to_pylist()).rstrip("\r\n"))
+                    closed.append(True)
+                    plain[at:after] = False
+                    free = after
+            plain[end:] = False
+            good = trimmed.filter(pa.array(plain))
+            yield from rows(path, member, good, pa.repeat(True, len(good)))
+            yield from rows(path, member, pa.array(made, pa.string()), pa.array(closed, pa.bool_()))
+            rest = lines.slice(end)
+
+    member_lines = _member_lines()
+    return archives.select("path", "content").mapInArrow(
         unpack, "path string, member string, record string, closed boolean"
     )
 
