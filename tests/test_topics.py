@@ -34,11 +34,14 @@ def small_files(spark, monkeypatch):
     spark.conf.unset("spark.sql.files.maxRecordsPerFile")
 
 
-def test_files_of_a_topic_hold_few_records(spark, tables, tmp_path, monkeypatch):
+@pytest.mark.parametrize("rounds, year, closing", [(4, None, False), (6, 2008, True)])
+def test_files_of_a_topic_hold_few_records(spark, tables, tmp_path, monkeypatch, rounds, year, closing):
+    """Of the incremental and of the windowed queries; the latter have two closing records more."""
     monkeypatch.setattr(runs, "RECORDS_PER_FILE", 50, raising=False)
-    folder = queries.publish_records(spark, tables, 4)
+    folder = queries.publish_records(spark, tables, rounds, year, closing)
     sizes = [r["count"] for r in spark.read.parquet(folder).groupBy(F.input_file_name()).count().collect()]
-    assert sum(sizes) == 1800 and max(sizes) <= 50
+    sent = cleaning.clean_on_time(derived.raw_flights(spark, tables), year).count()
+    assert sum(sizes) == sent + 2 * closing and max(sizes) <= 50
 
 
 @pytest.mark.parametrize("query", [queries.stream_trips_windowed, queries.stream_trips_joined])
