@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import glob
+import re
 
 import pytest
 from conftest import brute_trips, flight, golden_flights, random_flights
@@ -9,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F, types as T
 
 from skyledger import schemas
+from skyledger.operators.legs import best_legs, by_leg, least_delayed, timed_legs
 from skyledger.operators.traffic import endpoint_counts
 from skyledger.plans import punctuality
 from skyledger.session import stream_session
@@ -308,3 +310,33 @@ def test_one_airport_holding_a_third_of_all_records(spark, flights, publish, tmp
         publish(*thirds(rows)), tables, str(tmp_path / "cp"), seconds=None, session=spark
     ))
     assert stored_trips(spark, tables) == brute_trips(rows)
+
+
+def sort_and_splits(df):
+    """The plan's first sort, and how often it splits a line."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line]
+    return sorts[-1:], plan.count("split(")
+
+
+@pytest.mark.parametrize("windowed", [False, True])
+def test_legs_of_lines_are_split_once_and_sorted_by_a_number(spark, flights, windowed):
+    """Lines were split for each field that a filter names, and legs sorted by texts."""
+    lines = flight_lines(flights(random_flights(23))).withColumn("arrival_time", F.lit(START))
+    lines = spark.createDataFrame(lines.collect(), lines.schema)
+    legs = timed_legs(flights_from_lines(lines, keep=["arrival_time"]).where("year = 2008"))
+    if windowed:
+        window = F.window("arrival_time", "12 seconds", "6 seconds")
+        best = legs.groupBy(*by_leg(), window).agg(least_delayed().alias("best")).select("best.*").distinct()
+    else:
+        best = best_legs(legs)
+        (sort,), splits = sort_and_splits(best)
+        assert re.search(r"Sort \[\w+#\d+L ", sort) and splits == 1
+    expected = best_legs(timed_legs(flights(random_flights(23))))
+    assert set(best.collect()) == set(expected.collect())
+
+
+@pytest.mark.parametrize("line", [None, "", "\t\t", "2008\t2008-01-01\t2008-01-01T07:00:00.000Z"])
+def test_every_line_is_one_record(spark, line):
+    got = flights_from_lines(spark.createDataFrame([(line,)], "value string")).collect()
+    assert len(got) == 1 and got[0]["origin"] is None and got[0]["arr_delay"] is None
