@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from skyledger.llm import texts
-from skyledger.session import new_path, stage
+from skyledger.session import hadoop_path, new_path, stage
 
 END = texts.mix(np.array([0xE0D], np.uint64))[0]  # the closing token
 START = texts.mix(np.array([0x57A27], np.uint64))[0]  # what stands before the first
@@ -465,7 +465,7 @@ def _levels(blocks: DataFrame, model: Model, s: Settings) -> DataFrame:
     """`block`, `part`, `levels`: what each part of the filter holds of a block's distinct pairs.
 
     The pairs are staged by part, so all parts together probe each of them once; a part is
-    broadcast, probed and let go of before the next is made.
+    broadcast, probed and let go of, with its staged pairs, before the next is made.
     """
     spark, n, step = blocks.sparkSession, model.buckets, model.part_buckets(s.part_bytes)
     parts = -(-n // step)
@@ -497,6 +497,8 @@ def _levels(blocks: DataFrame, model: Model, s: Settings) -> DataFrame:
         (keys.where(F.col("part") == number).select("block", "keys").mapInArrow(probe, "block long, levels binary")
          .write.parquet(f"{levels_path}/part={number}"))
         sent.destroy()  # with the driver's copy
+        files, probed = hadoop_path(spark, f"{keys_path}/part={number}")
+        files.delete(probed, True)  # its levels are stored, and no later step reads its pairs
     return spark.read.schema("block long, levels binary, part int").parquet(levels_path)
 
 

@@ -427,3 +427,15 @@ def test_shards(spark):
     same = docs_of(spark, ["a"]).union(docs_of(spark, ["a"])).union(spark.createDataFrame([(None, None, None, None)], DOCS))
     assert sorted(r["slot"] for r in sharding.balanced_shards(same, 1).collect()) == [0, 1, 2]
     assert sharding.balanced_shards(same.limit(0)).count() == 0
+
+
+def test_pairs_of_a_part_go_once_it_is_probed(spark, monkeypatch, tmp_path):
+    """They stayed beside all that the scores are made of."""
+    monkeypatch.setattr(lm, "new_path", lambda _, label: str(tmp_path / label))
+    docs = docs_of(spark, [f"one two {i} three two one {i % 3}" for i in range(50)])
+    settings = lm.Settings(part_bytes=1)
+    model = lm.train(docs, settings)
+    assert model.buckets > 2
+    scores = lm.score(docs, model, settings)
+    assert list((tmp_path / "levels").rglob("*.parquet")) and not list((tmp_path / "pairs").rglob("*.parquet"))
+    assert scores.count() == 50
