@@ -32,6 +32,9 @@ from skyledger.session import hadoop_path, new_path, stage
 END = texts.mix(np.array([0xE0D], np.uint64))[0]  # the closing token
 START = texts.mix(np.array([0x57A27], np.uint64))[0]  # what stands before the first
 
+PROBED = 1 << 15  # keys whose bits are set or asked at a time
+BIT = np.array([128 >> i for i in range(8)], np.uint8)  # of a byte
+
 
 @dataclasses.dataclass(frozen=True)
 class Settings:
@@ -149,8 +152,10 @@ class Often:
 
 def _split(bucket: np.ndarray, n: int, *arrays: np.ndarray):
     """(bucket, arrays of its entries) for each bucket that has some."""
+    if n <= 1 << 16:
+        bucket = bucket.astype(np.uint16)  # sorted by radix
     order = np.argsort(bucket, kind="stable")
-    cut = np.searchsorted(bucket[order], np.arange(n + 1))
+    cut = np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=n))))
     for b in np.flatnonzero(np.diff(cut)):
         yield int(b), *(a[order[cut[b] : cut[b + 1]]] for a in arrays)
 
@@ -158,7 +163,7 @@ def _split(bucket: np.ndarray, n: int, *arrays: np.ndarray):
 def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, with the sum of their counts."""
     keys, counts = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
@@ -208,55 +213,87 @@ class Filter:
 
     @staticmethod
     def halves(keys: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray]:
-        """What the places of each key at a level are made of."""
+        """The first place of each key at a level, and the step to the next."""
         h = texts.mix(keys + np.uint64(at * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
-        return h & np.uint64(0xFFFFFFFF), h >> np.uint64(32) | np.uint64(1)
+        return h.astype(np.uint32), (h >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+
+    @staticmethod
+    def place(at: np.ndarray, bits: int) -> np.ndarray:
+        """The bit that a place of 32 bits stands for."""
+        return (at.astype(np.uint64) * np.uint64(bits)) >> np.uint64(32)
 
     @staticmethod
-    def place(low: np.ndarray, high: np.ndarray, i: int, bits: int) -> np.ndarray:
-        """Each key's bit by hash `i`."""
-        r = (low + np.uint64(i) * high + np.uint64(i * i)) & np.uint64(0xFFFFFFFF)
-        return ((r * np.uint64(bits)) >> np.uint64(32)).astype(np.int64)
+    def onward(at: np.ndarray, step: np.ndarray, i: int) -> None:
+        """From the places by hash `i` to those by the next: `i` steps and a square from the first."""
+        at += step
+        at += np.uint32(2 * i + 1)
 
     @staticmethod
     def segment(keys: np.ndarray, levels: np.ndarray, hashes, size: int, upper: int = 6) -> bytes:
         """The bit array of `size` bytes with every level of every key inserted; `hashes` of all keys, or of each."""
         bits = np.zeros(size * 8, bool)
-        hashes = np.broadcast_to(hashes, keys.shape)
+        order = _most_first(np.broadcast_to(hashes, keys.shape))
+        keys, levels, hashes = keys[order], levels[order], np.broadcast_to(hashes, keys.shape)[order]
         for at in range(1, int(levels.max(initial=0)) + 1):
-            keys, hashes, levels = keys[levels >= at], hashes[levels >= at], levels[levels >= at]
+            going = levels >= at
+            keys, hashes, levels = keys[going], hashes[going], levels[going]
             if at == 2:
                 hashes = np.minimum(hashes, upper)
-            low, high = Filter.halves(keys, at)
-            for i in range(int(hashes.max(initial=0))):
-                held = hashes > i
-                bits[Filter.place(low[held], high[held], i, size * 8)] = True
+            for begin in range(0, len(keys), PROBED):
+                own = slice(begin, begin + PROBED)
+                (low, high), more = Filter.halves(keys[own], at), _with_more(hashes[own])
+                for i, n in enumerate(more):
+                    bits[Filter.place(low[:n], size * 8)] = True
+                    Filter.onward(low[:n], high[:n], i)
         return np.packbits(bits).tobytes()
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """How many levels of each key are present, probing upwards until one is missing."""
         out = np.zeros(len(keys), np.int64)
-        size = self.segments.shape[1]
-        flat, going, at = self.segments.reshape(-1), np.arange(len(keys)), 1
-        base = (pair_bucket(keys, self.buckets) - self.first) * size
+        for begin in range(0, len(keys), PROBED):
+            own = slice(begin, begin + PROBED)
+            self._probe(keys[own], out[own])
+        return out
+
+    def _probe(self, keys: np.ndarray, out: np.ndarray) -> None:
+        """Levels of a few keys, as many as a processor's cache holds with what is made of them.
+
+        Keys of more hashes come first, so a hash asks the front of them. Most that pass the
+        first hashes are there: the others are only marked, and left out once they are many.
+        """
+        size, flat = self.segments.shape[1], self.segments.reshape(-1)
         hashes = self.often.after(keys) if self.often else np.full(len(keys), self.hashes, np.uint8)
+        going, at = _most_first(hashes), 1
+        hashes = hashes[going]
+        base = ((pair_bucket(keys, self.buckets) - self.first) * size)[going]
         while len(going):
             low, high = self.halves(keys[going], at)
-            for i in range(int(hashes[going].max())):
-                asked = np.flatnonzero(hashes[going] > i)
-                p = self.place(low[asked], high[asked], i, size * 8)
-                there = (flat[base[going[asked]] + (p >> 3)] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1
-                if not there.all():
-                    stay = np.ones(len(going), bool)
-                    stay[asked[~there]] = False
-                    going, low, high = going[stay], low[stay], high[stay]
-                if not len(going):
-                    break
+            present, more, i = np.ones(len(going), bool), _with_more(hashes), 0
+            while i < len(more):
+                n = more[i]
+                p = self.place(low[:n], size * 8).view(np.int64)
+                there = flat.take(base[:n] + (p >> 3)) & BIT.take(p & 7) != 0
+                self.onward(low[:n], high[:n], i)
+                i += 1
+                present[:n] &= there
+                if np.count_nonzero(present) < 0.9 * len(present):
+                    going, hashes, base, low, high = (x[present] for x in (going, hashes, base, low, high))
+                    present, more = np.ones(len(going), bool), _with_more(hashes)
+            going, hashes, base = (x[present] for x in (going, hashes, base))
             out[going] = at
             if at == 1:
                 hashes = np.minimum(hashes, self.upper)
             at += 1
-        return out
+
+
+def _most_first(hashes: np.ndarray) -> np.ndarray:
+    """The order of keys by their number of hashes, the highest first."""
+    return np.argsort(hashes.astype(np.uint8), kind="stable")[::-1]  # sorted by radix
+
+
+def _with_more(hashes: np.ndarray) -> np.ndarray:
+    """How many keys have more than 0, 1, ... hashes, as long as any has."""
+    return (len(hashes) - np.cumsum(np.bincount(hashes)))[:-1] if len(hashes) else np.zeros(0, np.int64)
 
 
 @dataclasses.dataclass
@@ -439,7 +476,7 @@ class Block:
     words: np.ndarray
     numbers: np.ndarray
     at: np.ndarray
-    code: np.ndarray  # of the pair that ends at each token
+    pair: np.ndarray  # the number of the pair that ends at each token
     before: np.ndarray
     after: np.ndarray
 
@@ -450,12 +487,10 @@ class Block:
             at = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
             numbers = numbers.astype(np.int64)
             code = shifted(numbers, at, np.searchsorted(words, START)) * len(words) + numbers
-            distinct = np.unique(code)
-            yield Block(words, numbers, at, code, distinct // len(words), distinct % len(words))
-
-    def pair(self) -> np.ndarray:
-        """The number of the pair that ends at each token."""
-        return np.searchsorted(self.before * len(self.words) + self.after, self.code)
+            # Asked for the inverse, `unique` sorts; without, it fills a hash table, which is many times slower.
+            distinct, pair = np.unique(code, return_inverse=True)
+            before = distinct // len(words)
+            yield Block(words, numbers, at, pair, before, distinct - before * len(words))
 
     def keys(self) -> np.ndarray:
         return pair_keys(self.words[self.before], self.words[self.after])
@@ -576,7 +611,7 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
             "n_known": texts.row_sums((counts > 0)[own.numbers].astype(np.int64), own.at),
             "train_tokens": np.full(len(own.at) - 1, n_tokens, np.int64),
             "base_score": np.add.reduceat(np.log10(single)[own.numbers], own.at[:-1]),
-            "score": np.add.reduceat(joint[own.pair()], own.at[:-1])})
+            "score": np.add.reduceat(joint[own.pair], own.at[:-1])})
 
     asked = blocks.select("block", "words").mapInArrow(ask, "block long, bucket int, keys binary")
     answers = asked.groupBy("bucket").cogroup(model.words.groupBy("bucket")).applyInArrow(

@@ -439,3 +439,60 @@ def test_pairs_of_a_part_go_once_it_is_probed(spark, monkeypatch, tmp_path):
     scores = lm.score(docs, model, settings)
     assert list((tmp_path / "levels").rglob("*.parquet")) and not list((tmp_path / "pairs").rglob("*.parquet"))
     assert scores.count() == 50
+
+
+def test_lm_tokens_of_a_block_know_their_pair(monkeypatch):
+    """Numbering the pairs took a hash table and a search, most of the time of scoring."""
+    rng = np.random.default_rng(5)
+    column = pa.array([" ".join(f"u{w}" for w in rng.zipf(1.3, 40_000) % 50_000) for _ in range(10)] + ["", None, "u1"])
+    hashes, at = lm.tokens(column)
+    words, numbers = np.unique(np.concatenate([np.array([lm.START], np.uint64), hashes]), return_inverse=True)
+    packed = [lm._packed(np.diff(at).astype("<u4")), lm._packed_keys(words), lm._packed(numbers[1:].astype("<u4"))]
+    rows = pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in packed], ["sizes", "words", "numbers"])
+    own, = lm.Block.each(rows)
+    assert (own.keys()[own.pair] == lm.pairs(hashes, at)).all() and (own.numbers == numbers[1:]).all()
+    codes = list(zip(own.before, own.after))
+    assert codes == sorted(set(codes))
+
+    def without_extras(x, *args, unique=np.unique, **more):
+        assert more or len(x) < 1000, "a hash table is filled"
+        return unique(x, *args, **more)
+
+    monkeypatch.setattr(np, "unique", without_extras)
+    assert len(list(lm.Block.each(rows))) == 1
+
+
+@pytest.mark.parametrize("probed", [7, 1 << 15])
+def test_bloom_filter_is_that_of_its_definition(monkeypatch, probed):
+    """Bits and levels key by key, keys of different numbers of hashes in pieces of any size."""
+    monkeypatch.setattr(lm, "PROBED", probed)
+    rng, size, upper, mask = np.random.default_rng(8), 600, 3, (1 << 32) - 1
+    keys = np.sort(rng.integers(0, 2**63, 120, dtype=np.uint64))
+    halves = np.unique(keys[::3] >> np.uint64(32)).astype(np.uint32)
+    often = lm.Often(halves, (4 + np.arange(len(halves)) % 5).astype(np.uint8), 9)
+    levels = rng.integers(1, 5, len(keys))
+
+    def places(key, at, n):
+        h = int(lm.texts.mix(np.array([(int(key) + at * 0x9E3779B97F4A7C15) & (1 << 64) - 1], np.uint64))[0])
+        low, high = h & mask, h >> 32 | 1
+        return [((low + i * high + i * i & mask) * size * 8) >> 32 for i in range(n)]
+
+    def hashes(key, at):
+        n = dict(zip(often.halves.tolist(), often.hashes.tolist())).get(int(key) >> 32, often.other)
+        return n if at == 1 else min(n, upper)
+
+    bits = np.zeros(size * 8, bool)
+    for key, top in zip(keys, levels):
+        for at in range(1, top + 1):
+            bits[places(key, at, hashes(key, at))] = True
+    made = lm.Filter.segment(keys, levels, often.after(keys), size, upper)
+    assert made == np.packbits(bits).tobytes()
+    asked = np.concatenate([keys, rng.integers(0, 2**63, 400, dtype=np.uint64)])
+    want = []
+    for key in asked:
+        at = 1
+        while bits[places(key, at, hashes(key, at))].all():
+            at += 1
+        want.append(at - 1)
+    found = lm.Filter(np.frombuffer(made, np.uint8)[None], 9, often=often, upper=upper).levels(asked)
+    assert found.tolist() == want and (found[:120] >= levels).all()
